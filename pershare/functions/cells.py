@@ -8,6 +8,8 @@ from pershare.functions.patterns import (
     DECIMAL,
     EDGE_SPACE,
     FOREIGN_DIGITS,
+    MISSING_MARKS,
+    PLAIN_NUMBER,
     VALUE,
 )
 
@@ -21,6 +23,16 @@ def clean_cells(cells: Column) -> Column:
     return F.transform(cells, lambda c: strip(F.coalesce(c, F.lit(""))))
 
 
+def typed_cells(cells: Column) -> Column:
+    """Cells as a table reader gives them that knows thousands separators and missing marks."""
+    return F.transform(
+        cells,
+        lambda c: F.when(c.isin(*MISSING_MARKS), "")
+        .when(c.rlike(PLAIN_NUMBER), F.translate(c, ",", ""))
+        .otherwise(c),
+    )
+
+
 def row_label(cells: Column) -> Column:
     """The leftmost cell that is not empty; null when there is none."""
     return F.get(F.filter(cells, lambda c: c != ""), F.lit(0))

@@ -42,19 +42,14 @@ _MARKUP = re.compile(
 _COLSPAN = re.compile(r"colspan\s*=\s*[\"']?\s*(\d+)", re.IGNORECASE)
 _ROWSPAN = re.compile(r"rowspan\s*=\s*[\"']?\s*(\d+)", re.IGNORECASE)
 _LINE_SPACE = re.compile(r"[\r\n]+|\s{2,}")
-_PLAIN_NUMBER = re.compile(r"[-0-9.,]+")
 # Limits set by the HTML standard.
 _MAX_COLSPAN, _MAX_ROWSPAN = 1000, 65534
 
-# Tags that end a run of text, and cell texts that stand for a missing value.
+# Tags that end a run of text.
 _BLOCK_TAGS = frozenset(
     "address article aside blockquote body center dd div dl dt fieldset footer form h1 h2 h3 h4 h5 "
     "h6 head header hr html li main nav ol p pre section table tbody td tfoot th thead tr ul".split()
 )
-_MISSING = frozenset(
-    ["#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>"]
-    + ["N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
-)
 
 
 class _Grid:
@@ -76,7 +71,8 @@ class _Grid:
         self.close_cell()
         if self.row is None:
             self.row = []
-        self.cell = (name, _span(_COLSPAN, attrs, _MAX_COLSPAN), _span(_ROWSPAN, attrs, _MAX_ROWSPAN), [])
+        cols, rows = _span(_COLSPAN, attrs, _MAX_COLSPAN), _span(_ROWSPAN, attrs, _MAX_ROWSPAN)
+        self.cell = (name, cols, rows, [])
 
     def close_cell(self):
         if self.cell is not None:
@@ -136,14 +132,7 @@ def _cell_text(raw: str) -> str:
     return _LINE_SPACE.sub(" ", html_entities.unescape(raw).strip())
 
 
-def _typed(text: str) -> str:
-    """Cell text as a table reader with thousands separators and missing-value marks gives it."""
-    if text in _MISSING:
-        return ""
-    return text.replace(",", "") if "," in text and _PLAIN_NUMBER.fullmatch(text) else text
-
-
-def parse_elements(document: str, with_text: bool, fill_spans: bool, typed_cells: bool) -> list[dict]:
+def parse_elements(document: str, with_text: bool = False, fill_spans: bool = False) -> list[dict]:
     """Outermost tables and runs of text between block tags, in document order."""
     elements: list[dict] = []
     text: list[str] = []
@@ -160,8 +149,6 @@ def parse_elements(document: str, with_text: bool, fill_spans: bool, typed_cells
 
     def end_table():
         labels, rows, n_rows = grid.finish()
-        if typed_cells:
-            rows = [[_typed(cell) for cell in row] for row in rows]
         elements.append(
             {
                 "elem_seq": len(elements),
@@ -216,23 +203,21 @@ def parse_elements(document: str, with_text: bool, fill_spans: bool, typed_cells
     return elements
 
 
-def elements_of(
-    html: Column, with_text: bool = False, fill_spans: bool = False, typed_cells: bool = True
-) -> Column:
+def elements_of(html: Column, with_text: bool = False, fill_spans: bool = False) -> Column:
     """``html`` -> array of elements; null for null.
 
     ``fill_spans`` repeats the text of a spanned cell in the slots it covers, which are empty
-    otherwise. ``typed_cells`` drops thousands separators from purely numeric cells and empties
-    missing-value marks. The function is declared nondeterministic so that the optimizer never
-    copies it into a second evaluation.
+    otherwise. The function is declared nondeterministic so that the optimizer never copies it
+    into a second evaluation.
     """
 
     @F.arrow_udf(ELEMENT_TYPE)
     def parse(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
+            documents = (value.as_py() for value in batch)
             parsed = [
-                None if doc is None else parse_elements(doc, with_text, fill_spans, typed_cells)
-                for doc in (value.as_py() for value in batch)
+                None if document is None else parse_elements(document, with_text, fill_spans)
+                for document in documents
             ]
             yield pa.array(parsed, type=_ARROW_TYPE)
 

@@ -18,6 +18,10 @@ BASIC_SCORE, DILUTED_SCORE, UNADJUSTED_SCORE, NET_SCORE, LOSS_SCORE = 100, 50, 1
 SIMILARITY_THRESHOLD = 0.5
 DEFAULT_TIMEFRAME = 2020
 
+MISSING_MARKS = ("#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND") + (
+    "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"
+)
+
 SPACE = r"[\s\x1c-\x1f]"
 WORD = r"[\p{L}\p{N}_]"
 BOUNDARY = rf"(?:(?<!{WORD})(?={WORD})|(?<={WORD})(?!{WORD}))"
@@ -29,6 +33,9 @@ DECIMAL = r"(?U)\.\d"
 # A number with whole part and fraction, and the sign character that may precede it.
 VALUE = rf"(?U)[(\-]?{SPACE}*[$]?{SPACE}*\d+\.\d+"
 
+# A cell of digits, separators and dashes only.
+PLAIN_NUMBER = r"^[-0-9.,]+\z"
+
 ADJUSTED_PATTERN = rf"(?iUd){BOUNDARY}(?:{NON_GAAP}){BOUNDARY}"
 GAAP_PATTERN = rf"(?iUd){BOUNDARY}(?:{GAAP}){BOUNDARY}"
 
