@@ -9,6 +9,8 @@ from pershare.functions.patterns import (
     DILUTED_SCORE,
     EPS_PATTERN,
     GAAP_PATTERN,
+    GAIN_PATTERN,
+    LOSS_PATTERN,
     LOSS_SCORE,
     NET_SCORE,
     NET_WORDS,
@@ -73,6 +75,14 @@ def score(type_: Column, is_adjusted_: Column, is_net_: Column, is_loss_: Column
     )
 
 
+def signed(context: Column, value: Column, force_loss_negative: bool = False) -> Column:
+    """``value``, or with the option its negative where the context names nothing but a loss."""
+    if not force_loss_negative:
+        return value
+    only_loss = context.rlike(LOSS_PATTERN) & ~context.rlike(GAIN_PATTERN)
+    return F.when(only_loss, -F.abs(value)).otherwise(value)
+
+
 def candidate_fields(context: Column, value: Column, loss: Column | None = None) -> list[Column]:
     """The columns of one candidate, from its context and value."""
     return [

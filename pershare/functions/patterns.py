@@ -70,6 +70,8 @@ def required_fragments(phrases=PHRASES) -> str:
 
 EPS_PATTERN = any_phrase_pattern()
 EPS_FRAGMENT = required_fragments()
+LOSS_PATTERN = any_phrase_pattern([p for p in PHRASES if p.startswith("loss")])
+GAIN_PATTERN = any_phrase_pattern([p for p in PHRASES if not p.startswith("loss")])
 
 # Decimal digits of every script and, position by position, their ASCII values.
 _DIGITS = [c for c in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.category(c) == "Nd"]

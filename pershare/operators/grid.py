@@ -79,20 +79,26 @@ def header_groups(grid: DataFrame, block_rows: int | None = BLOCK_ROWS) -> DataF
 
 
 def row_context(
-    grid: DataFrame, timeframe: int, block_rows: int | None = BLOCK_ROWS
+    grid: DataFrame,
+    timeframe: int,
+    block_rows: int | None = BLOCK_ROWS,
+    keep_all: bool = False,
 ) -> DataFrame:
     """Value rows with their context in lower case and their scan direction.
 
     ``block_rows=None`` is for grids whose tables are known to be short: it skips the hand-over
-    between blocks.
+    between blocks. ``keep_all`` leaves header rows and empty rows in, with a null context.
     """
-    return (
+    context = F.when(
+        ~F.col("is_header") & F.col("label").isNotNull(),
+        join_context(F.col("header"), F.col("label")),
+    )
+    rows = (
         _framed(_facts(grid, timeframe), block_rows)
-        .filter(~F.col("is_header"))
-        .withColumn("context", join_context(F.col("header"), F.col("label")))
-        .filter(F.col("context") != "")
-        .drop("label", "is_header", "years_ascend", "group_start", "header")
+        .withColumn("context", context)
+        .select(*grid.columns, "context", "reverse")
     )
+    return rows if keep_all else rows.filter(F.col("context").isNotNull())
 
 
 def _block(row_idx: str, block_rows: int) -> Column:
@@ -104,10 +110,11 @@ def _facts(grid: DataFrame, timeframe: int | None) -> DataFrame:
     cells = F.col("cells")
     labels = F.col("col_labels") if "col_labels" in grid.columns else F.lit(None)
     ascend = F.lit(False) if timeframe is None else cell.years_ascend(labels, cells, timeframe)
+    label = cell.row_label(cells)
     return grid.withColumns(
         {
-            "label": cell.row_label(cells),
-            "is_header": cell.is_header(cells),
+            "label": label,
+            "is_header": cell.is_header(cells) & label.isNotNull(),
             "years_ascend": ascend,
         }
     )

@@ -16,7 +16,12 @@ from pershare.functions.patterns import EPS_FRAGMENT
 from pershare.operators.elements import ROW_THRESHOLD
 
 
-def with_candidates(parsed: DataFrame, timeframe: int, typed_cells: bool = True) -> DataFrame:
+def with_candidates(
+    parsed: DataFrame,
+    timeframe: int,
+    force_loss_negative: bool = False,
+    typed_cells: bool = True,
+) -> DataFrame:
     """Replace ``parsed`` (elements of a filing) by ``candidates``, in document order.
 
     ``value`` is null where the number could not be read.
@@ -29,7 +34,7 @@ def with_candidates(parsed: DataFrame, timeframe: int, typed_cells: bool = True)
         .withColumn("rows", F.flatten(F.transform("tables", _value_rows)))
         .drop("tables")
         .withColumn("rows", F.filter("rows", _matches))
-        .withColumn("rows", F.transform("rows", _candidate))
+        .withColumn("rows", F.transform("rows", lambda r: _candidate(r, force_loss_negative)))
         .withColumn("candidates", F.transform("rows", _scored))
         .drop("rows")
     )
@@ -132,11 +137,12 @@ def _matches(row: Column) -> Column:
     return row.token.isNotNull() & labels.mentions_eps(row.context)
 
 
-def _candidate(row: Column) -> Column:
+def _candidate(row: Column, force_loss_negative: bool) -> Column:
+    value = labels.signed(row.context, cell.parse_value(row.token), force_loss_negative)
     return F.struct(
         row.table_seq.alias("table_seq"),
         row.row_idx.alias("row_idx"),
-        *labels.candidate_fields(row.context, cell.parse_value(row.token)),
+        *labels.candidate_fields(row.context, value),
     )
 
 

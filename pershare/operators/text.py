@@ -65,8 +65,13 @@ def mentions_any(text: Column, phrases: tuple[str, ...] = PHRASES) -> Column:
     return text.rlike(any_phrase_pattern(phrases))
 
 
-def sentence_variants(sents: DataFrame, phrases: tuple[str, ...] = PHRASES) -> DataFrame:
-    """One row per sentence and phrase found in it: ``variant_idx`` and ``phrase``."""
+def sentence_variants(
+    sents: DataFrame, phrases: tuple[str, ...] = PHRASES, outer: bool = False
+) -> DataFrame:
+    """One row per sentence and phrase found in it: ``variant_idx`` and ``phrase``.
+
+    With ``outer`` a sentence without any stays as one row with nulls.
+    """
     sentence = F.col("sentence")
     found = F.array_compact(
         F.array(
@@ -79,7 +84,7 @@ def sentence_variants(sents: DataFrame, phrases: tuple[str, ...] = PHRASES) -> D
             )
         )
     )
-    return sents.select("*", F.inline(found))
+    return sents.select("*", F.inline_outer(found) if outer else F.inline(found))
 
 
 def token_vectors(sents: DataFrame, make_encoder: Callable[[], Encoder]) -> DataFrame:
@@ -147,36 +152,44 @@ def number_similarities(tokens: Column, numbers: Column, anchor: Column) -> Colu
 
     Null where nothing can be compared: no anchor, or a vector that is no number somewhere.
     """
-    compared = F.transform(
-        numbers,
-        lambda n: F.struct(
-            cosine(F.get(tokens, n.tok_idx).vec, anchor).alias("sim"),
-            (-n.tok_idx).alias("place"),
-            n.num.alias("num"),
-            has_nan(F.get(tokens, n.tok_idx).vec).alias("nan"),
-        ),
+
+    def compare(number: Column) -> Column:
+        vector = F.get(tokens, number.tok_idx).vec
+        return F.struct(
+            F.when(~has_nan(vector), cosine(vector, anchor)).alias("sim"),
+            (-number.tok_idx).alias("place"),
+            number.num.alias("num"),
+        )
+
+    compared = F.transform(numbers, compare)
+    comparable = anchor.isNotNull() & ~has_nan(anchor) & ~F.exists(
+        compared, lambda n: n.sim.isNull()
     )
-    comparable = anchor.isNotNull() & ~has_nan(anchor) & ~F.exists(compared, lambda n: n.nan)
     return F.when(comparable, compared)
 
 
+def nearest_number(
+    tokens: Column, phrase: Column, threshold: float | None = SIMILARITY_THRESHOLD
+) -> Column:
+    """``sim``, ``place`` (negative token index) and ``num`` of the number nearest to the phrase.
+
+    Of equally near numbers the first wins; null where none is nearer than ``threshold``.
+    """
+    # An array of one lets the later steps share the anchor instead of computing it per number.
+    compared = F.transform(
+        F.array(anchor_vector(tokens, phrase)),
+        lambda anchor: F.array_max(number_similarities(tokens, dollar_numbers(tokens), anchor)),
+    )
+    best = F.get(compared, F.lit(0))
+    return best if threshold is None else F.when(best.sim > threshold, best)
+
+
 def nearest_numbers(
     variants: DataFrame, threshold: float | None = SIMILARITY_THRESHOLD
 ) -> DataFrame:
-    """``num``, ``tok_idx`` and ``sim`` of the number nearest to the phrase, above ``threshold``.
-
-    Of equally near numbers the first wins.
-    """
-    near = (
-        variants.withColumn("numbers", dollar_numbers(F.col("tokens")))
-        .filter(F.size("numbers") > 0)
-        .withColumn("anchor", anchor_vector(F.col("tokens"), F.col("phrase")))
-        .withColumn(
-            "best",
-            F.array_max(
-                number_similarities(F.col("tokens"), F.col("numbers"), F.col("anchor"))
-            ),
-        )
+    """``num``, ``tok_idx`` and ``sim`` of the nearest number of each sentence and phrase."""
+    return (
+        variants.withColumn("best", nearest_number(F.col("tokens"), F.col("phrase"), threshold))
         .filter(F.col("best").isNotNull())
         .select(
             *(c for c in variants.columns if c != "tokens"),
@@ -185,7 +198,6 @@ def nearest_numbers(
             F.col("best.sim").alias("sim"),
         )
     )
-    return near if threshold is None else near.filter(F.col("sim") > threshold)
 
 
 def text_candidates(nearest: DataFrame) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pershare.functions import cells as cell
+from pershare.functions import labels
 from pershare.functions.markup import elements_of
 from pershare.functions.patterns import DEFAULT_TIMEFRAME
-from pershare.operators import grid, match, rank, sections, text
+from pershare.operators import grid, rank, sections, text
 from pershare.operators.elements import ROW_THRESHOLD, element_text
 from pershare.sources.filings import decodable
 
@@ -49,16 +51,26 @@ def eps_from_grid(
     grid_rows: DataFrame,
     timeframe: int = DEFAULT_TIMEFRAME,
     block_rows: int | None = grid.BLOCK_ROWS,
+    force_loss_negative: bool = False,
 ) -> DataFrame:
-    """``filename`` and ``EPS`` for every filing with rows in a grid held in long form."""
-    candidates = (
+    """``filename`` and ``EPS`` for every filing with rows in a grid held in long form.
+
+    All rows reach the aggregate, the ones without a candidate with a null key, so that filings
+    without any need no join to come back as 0.
+    """
+    context, reverse = F.col("context"), F.col("reverse")
+    value = labels.signed(
+        context, cell.parse_value(cell.value_token(F.col("cells"), reverse)), force_loss_negative
+    )
+    return (
         grid_rows.transform(grid.clean_cells)
-        .transform(grid.drop_empty_rows)
-        .transform(grid.row_context, timeframe, block_rows)
-        .transform(match.candidates)
+        .transform(grid.row_context, timeframe, block_rows, keep_all=True)
+        .withColumn("value", F.when(labels.mentions_eps(context), value))
+        .withColumn("score", _score(context, F.col("value")))
+        .groupBy("filename")
+        .agg(_best(rank.TABLE_ORDER).alias("value"))
+        .select("filename", F.coalesce("value", F.lit(0.0)).alias("EPS"))
     )
-    winners = candidates.transform(rank.scores).transform(rank.top_candidate)
-    return rank.default_zero(grid_rows.select("filename").distinct(), winners)
 
 
 def _with_text_fallback(filings, timeframe, make_encoder, force_loss_negative) -> DataFrame:
@@ -68,33 +80,62 @@ def _with_text_fallback(filings, timeframe, make_encoder, force_loss_negative) -
     parsed = decodable(filings).select(
         "filename", elements_of(F.col("html"), with_text=True).alias("parsed")
     )
-    sentences = F.transform(
-        F.filter("parsed", lambda e: (e.tag == "text") | (e.n_rows <= ROW_THRESHOLD)),
+    rows = (
+        parsed.withColumn("sentences", _sentences_to_encode(F.col("parsed")))
+        .transform(sections.with_candidates, timeframe, force_loss_negative)
+        .withColumn("table_value", sections.best_value(F.col("candidates")))
+        .select("filename", "table_value", F.explode(_filing_and_sentences()).alias("s"))
+        .select("filename", "table_value", "s.*")
+    )
+    nearest = text.nearest_number(F.col("tokens"), F.col("phrase"))
+    return (
+        rows.transform(text.token_vectors, make_encoder)
+        .transform(text.sentence_variants, outer=True)
+        .withColumn("num", F.when(F.col("phrase").isNotNull(), nearest).num)
+        .withColumn("value", F.col("num").try_cast("double"))
+        .withColumn("score", _score(F.col("sentence"), F.col("value")))
+        .groupBy("filename")
+        .agg(
+            F.max("table_value").alias("table_value"),
+            _best(rank.TEXT_ORDER).alias("text_value"),
+        )
+        .select("filename", F.coalesce("table_value", "text_value", F.lit(0.0)).alias("EPS"))
+    )
+
+
+def _sentences_to_encode(elements: Column) -> Column:
+    """Sentences of the text elements that name the phrase and hold a dollar sign."""
+    is_text = lambda e: (e.tag == "text") | (e.n_rows <= ROW_THRESHOLD)
+    split = F.transform(
+        F.filter(elements, is_text),
         lambda e: F.transform(
             text.split_sentences(element_text(e)),
             lambda s, i: F.struct(
-                e.elem_seq.alias("elem_seq"), i.alias("sent_idx"), text.strip(s).alias("sentence")
+                e.elem_seq.alias("elem_seq"), i.alias("sent_idx"), cell.strip(s).alias("sentence")
             ),
         ),
     )
-    wanted = F.filter(
-        F.flatten(sentences),
+    return F.filter(
+        F.flatten(split),
         lambda s: F.contains(s.sentence, F.lit("$")) & text.mentions_any(s.sentence),
     )
-    valued = sections.with_candidates(
-        parsed.withColumn("sentences", wanted), timeframe, force_loss_negative
-    ).select(
-        "filename", "sentences", sections.best_value(F.col("candidates")).alias("table_value")
+
+
+def _filing_and_sentences() -> Column:
+    """A null for the filing itself, then its sentences where the tables gave nothing."""
+    itself = F.lit(None).cast("struct<elem_seq:int,sent_idx:int,sentence:string>")
+    needed = F.when(F.col("table_value").isNull(), F.col("sentences")).otherwise(F.array())
+    return F.concat(F.array(itself), needed)
+
+
+def _score(context: Column, value: Column) -> Column:
+    """Null where there is no value."""
+    score = labels.score(
+        labels.share_type(context), labels.is_adjusted(context), labels.is_net(context), value < 0
     )
-    no_sentence = F.lit(None).cast("struct<elem_seq:int,sent_idx:int,sentence:string>")
-    per_row = valued.select(
-        "filename",
-        "table_value",
-        F.explode(
-            F.concat(
-                F.array(no_sentence),
-                F.when(F.col("table_value").isNull(), F.col("sentences")).otherwise(F.array()),
-            )
-        ).alias("s"),
-    ).select("filename", "table_value", "s.*")
-    raise NotImplementedError
+    return F.when(value.isNotNull(), score)
+
+
+def _best(order: tuple[str, ...]) -> Column:
+    key = F.when(F.col("score").isNotNull(), rank.rank_key(order))
+    return F.max_by("value", key)
