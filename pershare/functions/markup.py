@@ -7,12 +7,17 @@ the text between block tags. Everything after it stays in Spark expressions.
 
 import html as html_entities
 import re
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Workers get this module's code with the task, so the package need not be installed on them.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 ELEMENT_TYPE = (
     "array<struct<elem_seq:int,tag:string,n_rows:int,text:string,"
     "col_labels:array<string>,rows:array<array<string>>>>"
@@ -30,14 +35,16 @@ _ARROW_TYPE = pa.list_(
     )
 )
 
-# Comments and elements without visible text; then tags, with quoted attribute values.
+# Comments, declarations and elements without visible text, which leave nothing behind; then tags,
+# with quoted attribute values. Splitting by it gives text, tag name, attributes, text, ...
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<hidden>script|style|title)\b[^>]*>.*?(?:</(?P=hidden)\s*>|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-z][\w:-]*)"
-    r"(?P<attrs>[^>\"']*+(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*+)*+)>"
-    r"|<[!?][^>]*>",
-    re.IGNORECASE | re.DOTALL,
+    r"<(?:!--.*?(?:-->|\Z)"
+    r"|[!?][^>]*+>"
+    r"|(?i:script\b[^>]*+>.*?(?:</script\s*+>|\Z))"
+    r"|(?i:style\b[^>]*+>.*?(?:</style\s*+>|\Z))"
+    r"|(?i:title\b[^>]*+>.*?(?:</title\s*+>|\Z))"
+    r"|(/?[a-zA-Z][^\s>/]*+)([^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+)>)",
+    re.DOTALL,
 )
 _COLSPAN = re.compile(r"colspan\s*=\s*[\"']?\s*(\d+)", re.IGNORECASE)
 _ROWSPAN = re.compile(r"rowspan\s*=\s*[\"']?\s*(\d+)", re.IGNORECASE)
@@ -45,11 +52,13 @@ _LINE_SPACE = re.compile(r"[\r\n]+|\s{2,}")
 # Limits set by the HTML standard.
 _MAX_COLSPAN, _MAX_ROWSPAN = 1000, 65534
 
-# Tags that end a run of text.
-_BLOCK_TAGS = frozenset(
+# Tags that shape a table, and tags that end a run of text.
+_TABLE_TAGS = frozenset("td th tr thead tbody tfoot".split())
+_BLOCK_TAGS = _TABLE_TAGS | frozenset(
     "address article aside blockquote body center dd div dl dt fieldset footer form h1 h2 h3 h4 h5 "
-    "h6 head header hr html li main nav ol p pre section table tbody td tfoot th thead tr ul".split()
+    "h6 head header hr html li main nav ol p pre section ul".split()
 )
+_SHAPING = _BLOCK_TAGS | {"br", "table"}
 
 
 class _Grid:
@@ -63,16 +72,20 @@ class _Grid:
         self.cell = None
         self.spans: dict[int, tuple[int, str]] = {}
 
-    def open_row(self):
+    def on_tag(self, name: str, closing: bool, attrs: str):
+        if name in ("td", "th"):
+            self.close_cell()
+            if not closing:
+                self.row = self.row if self.row is not None else []
+                cols = _span(_COLSPAN, attrs, _MAX_COLSPAN)
+                rows = _span(_ROWSPAN, attrs, _MAX_ROWSPAN)
+                self.cell = (name, cols, rows, [])
+            return
         self.close_row()
-        self.row = []
-
-    def open_cell(self, name: str, attrs: str):
-        self.close_cell()
-        if self.row is None:
-            self.row = []
-        cols, rows = _span(_COLSPAN, attrs, _MAX_COLSPAN), _span(_ROWSPAN, attrs, _MAX_ROWSPAN)
-        self.cell = (name, cols, rows, [])
+        if name == "tr":
+            self.row = None if closing else []
+        else:
+            self.in_head = name == "thead" and not closing
 
     def close_cell(self):
         if self.cell is not None:
@@ -124,100 +137,131 @@ class _Grid:
 
 
 def _span(pattern: re.Pattern, attrs: str, limit: int) -> int:
-    found = pattern.search(attrs) if attrs else None
+    found = pattern.search(attrs) if "span" in attrs.lower() else None
     return min(max(int(found[1]), 1), limit) if found else 1
 
 
 def _cell_text(raw: str) -> str:
-    return _LINE_SPACE.sub(" ", html_entities.unescape(raw).strip())
-
-
-def parse_elements(document: str, with_text: bool = False, fill_spans: bool = False) -> list[dict]:
-    """Outermost tables and runs of text between block tags, in document order."""
+    if "&" in raw:
+        raw = html_entities.unescape(raw)
+    return _LINE_SPACE.sub(" ", raw.strip())
+
+
+def _tag(name: str | None) -> str | None:
+    """The tag of a name as written, with its slash, if it shapes text or tables."""
+    if name is None:
+        return None
+    tag = name.lower()
+    return tag if tag.lstrip("/") in _SHAPING else None
+
+
+def _outermost_tables(names: list) -> list[tuple[int, int]]:
+    """Positions of the opening and closing tags; an open table ends with the document."""
+    found, depth, start = [], 0, 0
+    for i in [i for i, name in enumerate(names) if name and name[-5:].lower() == "table"]:
+        if _tag(names[i]) == "table":
+            start = start if depth else i
+            depth += 1
+        elif depth and _tag(names[i]) == "/table":
+            depth -= 1
+            if depth == 0:
+                found.append((start, i))
+    return found + ([(start, len(names))] if depth else [])
+
+
+def _text_runs(first: str, names: list, texts: list) -> Iterator[str]:
+    """Text between block tags, on one line."""
+    run = [first]
+    for name, text in zip([*names, "/body"], [*texts, ""]):
+        tag = _tag(name)
+        if tag in ("br", "/br"):
+            run.append(" ")
+        elif tag is not None:
+            line = " ".join(html_entities.unescape("".join(run)).split())
+            if line:
+                yield line
+            run.clear()
+        run.append(text)
+
+
+def _read_table(names: list, attrs: list, texts: list, fill_spans: bool):
+    """Column labels, rows and row count of the table whose inner tags are given.
+
+    The text of a table within a cell belongs to that cell.
+    """
+    grid, depth = _Grid(fill_spans), 0
+    for name, attr, text in zip(names, attrs, texts):
+        tag = _tag(name)
+        if tag is not None:
+            bare = tag.lstrip("/")
+            if bare == "table":
+                depth += 1 if tag == bare else -1
+            elif bare == "br":
+                text = "\n" + text
+            elif depth == 0 and bare in _TABLE_TAGS:
+                grid.on_tag(bare, tag != bare, attr)
+        if text and grid.cell is not None:
+            grid.cell[3].append(text)
+    return grid.finish()
+
+
+def parse_elements(
+    document: str,
+    with_text: bool = False,
+    fill_spans: bool = False,
+    table_filter: re.Pattern | None = None,
+) -> list[dict]:
+    """Outermost tables and, if wanted, runs of text between block tags, in document order.
+
+    Tables in whose text ``table_filter`` finds nothing are numbered but left out.
+    """
+    parts = _MARKUP.split(document)
+    names, attrs, texts = parts[1::3], parts[2::3], parts[3::3]
     elements: list[dict] = []
-    text: list[str] = []
-    grid, depth, position = None, 0, 0
-
-    def end_text():
-        if with_text and text:
-            run = " ".join(html_entities.unescape("".join(text)).split())
-            if run:
-                elements.append(
-                    {"elem_seq": len(elements), "tag": "text", "n_rows": 0, "text": run}
-                )
-        text.clear()
-
-    def end_table():
-        labels, rows, n_rows = grid.finish()
-        elements.append(
-            {
-                "elem_seq": len(elements),
-                "tag": "table",
-                "n_rows": n_rows,
-                "col_labels": labels,
-                "rows": rows,
-            }
-        )
-
-    def add(piece: str):
-        if grid is None:
-            text.append(piece)
-        elif grid.cell is not None:
-            grid.cell[3].append(piece)
-
-    for mark in _MARKUP.finditer(document):
-        if mark.start() > position:
-            add(document[position : mark.start()])
-        position = mark.end()
-        if mark["name"] is None:
-            continue
-        name, closing = mark["name"].lower(), bool(mark["close"])
-        if name == "br":
-            add("\n")
-        elif name == "table":
-            if not closing:
-                depth += 1
-                if depth == 1:
-                    end_text()
-                    grid = _Grid(fill_spans)
-            elif depth:
-                depth -= 1
-                if depth == 0:
-                    end_table()
-                    grid = None
-        elif grid is None:
-            if name in _BLOCK_TAGS:
-                end_text()
-        elif depth == 1:
-            if name == "tr":
-                grid.close_row() if closing else grid.open_row()
-            elif name in ("td", "th"):
-                grid.close_cell() if closing else grid.open_cell(name, mark["attrs"])
-            elif name in ("thead", "tbody", "tfoot"):
-                grid.close_row()
-                grid.in_head = name == "thead" and not closing
-    add(document[position:])
-    if grid is not None:
-        end_table()
-    end_text()
+    seq, position, before = 0, 0, parts[0]
+    for start, end in [*_outermost_tables(names), (len(names), None)]:
+        if with_text:
+            for run in _text_runs(before, names[position:start], texts[position:start]):
+                elements.append({"elem_seq": seq, "tag": "text", "n_rows": 0, "text": run})
+                seq += 1
+        if end is None:
+            break
+        inside = slice(start + 1, end)
+        if table_filter is None or table_filter.search(
+            html_entities.unescape("".join(texts[start:end]))
+        ):
+            labels, rows, n_rows = _read_table(
+                names[inside], attrs[inside], texts[inside], fill_spans
+            )
+            table = {"tag": "table", "n_rows": n_rows, "col_labels": labels, "rows": rows}
+            elements.append({"elem_seq": seq, **table})
+        seq += 1
+        position, before = end + 1, "".join(texts[end : end + 1])
     return elements
 
 
-def elements_of(html: Column, with_text: bool = False, fill_spans: bool = False) -> Column:
+def elements_of(
+    html: Column,
+    with_text: bool = False,
+    fill_spans: bool = False,
+    tables_with: str | None = None,
+) -> Column:
     """``html`` -> array of elements; null for null.
 
     ``fill_spans`` repeats the text of a spanned cell in the slots it covers, which are empty
-    otherwise. The function is declared nondeterministic so that the optimizer never copies it
+    otherwise. With ``tables_with``, a pattern, only tables in whose text it is found are read any
+    further: joining the text of a table is cheap beside taking it apart. The function is declared nondeterministic so that the optimizer never copies it
     into a second evaluation.
     """
 
     @F.arrow_udf(ELEMENT_TYPE)
     def parse(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        table_filter = tables_with and re.compile(tables_with, re.IGNORECASE)
         for batch in batches:
             documents = (value.as_py() for value in batch)
             parsed = [
-                None if document is None else parse_elements(document, with_text, fill_spans)
-                for document in documents
+                None if doc is None else parse_elements(doc, with_text, fill_spans, table_filter)
+                for doc in documents
             ]
             yield pa.array(parsed, type=_ARROW_TYPE)
 

@@ -59,13 +59,13 @@ def any_phrase_pattern(phrases=PHRASES) -> str:
 
 
 def required_fragments(phrases=PHRASES) -> str:
-    """Matches every text that holds the last word of some phrase, wherever it stands.
+    """Found in every text that holds the last word of some phrase, wherever it stands.
 
     A phrase can match only if its last word occurs in one piece, so a table none of whose labels
-    passes this cheap test cannot give a candidate.
+    passes this cheap test cannot give a candidate. To be matched regardless of case.
     """
     last_words = sorted({p.split()[-1] for p in phrases})
-    return "(?iU)" + "|".join(quote(w) for w in last_words)
+    return "|".join(quote(w) for w in last_words)
 
 
 EPS_PATTERN = any_phrase_pattern()

@@ -4,9 +4,11 @@ Everything about a sentence - its tokens, their vectors, the comparison of numbe
 sentence's row as arrays; nothing is shuffled before candidates are ranked.
 """
 
+import sys
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,9 @@ from pershare.functions.patterns import (
 )
 from pershare.functions.vectors import cosine, has_nan, mean_vector
 
+# Workers get this module's code with the task, so the package need not be installed on them.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # A full stop after one of these ends no sentence.
 ABBREVIATIONS = (
     "approx", "co", "corp", "dr", "e.p.s", "inc", "ltd", "mr", "mrs", "ms", "no", "u.s", "vs"

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pershare.functions import cells as cell
 from pershare.functions import labels
 from pershare.functions.markup import elements_of
-from pershare.functions.patterns import DEFAULT_TIMEFRAME
+from pershare.functions.patterns import DEFAULT_TIMEFRAME, EPS_FRAGMENT
 from pershare.operators import grid, rank, sections, text
 from pershare.operators.elements import ROW_THRESHOLD, element_text
 from pershare.sources.filings import decodable
@@ -42,7 +42,8 @@ def filing_candidates(
     """``filename`` and ``candidates``, the array of table candidates in document order."""
     html = F.col("html")
     parsed = decodable(filings).select(
-        "filename", elements_of(F.when(html.rlike("(?i)<table"), html)).alias("parsed")
+        "filename",
+        elements_of(F.when(html.rlike("(?i)<table"), html), tables_with=EPS_FRAGMENT).alias("parsed"),
     )
     return sections.with_candidates(parsed, timeframe, force_loss_negative)
 
