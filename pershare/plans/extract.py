@@ -79,7 +79,8 @@ def _with_text_fallback(filings, timeframe, make_encoder, force_loss_negative) -
     each sentence to encode. A single aggregate brings them together again, so neither the HTML
     nor its parse is needed twice."""
     parsed = decodable(filings).select(
-        "filename", elements_of(F.col("html"), with_text=True).alias("parsed")
+        "filename",
+        elements_of(F.col("html"), with_text=True, tables_with=EPS_FRAGMENT).alias("parsed"),
     )
     rows = (
         parsed.withColumn("sentences", _sentences_to_encode(F.col("parsed")))
