@@ -12,6 +12,7 @@ from pershare.functions.patterns import (
     PLAIN_NUMBER,
     VALUE,
 )
+from pershare.functions.vectors import let
 
 
 def strip(text: Column) -> Column:
@@ -53,9 +54,11 @@ def years_ascend(col_labels: Column, cells: Column, timeframe: int) -> Column:
         cells,
         lambda label, cell: F.array(F.coalesce(label, F.lit("")), F.coalesce(cell, F.lit(""))),
     )
-    text = F.array_join(F.flatten(pairs), " ")
-    before, year = F.instr(text, str(timeframe - 1)), F.instr(text, str(timeframe))
-    return (before > 0) & (before < year)
+    before = lambda text: F.instr(text, str(timeframe - 1))
+    return let(
+        F.array_join(F.flatten(pairs), " "),
+        lambda text: (before(text) > 0) & (before(text) < F.instr(text, str(timeframe))),
+    )
 
 
 def value_token(cells: Column, from_right: Column) -> Column:

@@ -114,7 +114,7 @@ def _value_rows(table: Column) -> Column:
         rows = F.slice(table.rows, start + 1, end - start)
         header = F.transform(F.filter(rows, lambda r: r.is_header), lambda r: r.label)
         return F.struct(
-            F.when(F.size(header) > 0, F.array_join(header, " ")).alias("header"),
+            F.nullif(F.array_join(header, " "), F.lit("")).alias("header"),
             F.filter(rows, lambda r: ~r.is_header).alias("rows"),
         )
 

@@ -22,7 +22,7 @@ from pershare.functions.patterns import (
     phrase_pattern,
     quote,
 )
-from pershare.functions.vectors import cosine, has_nan, mean_vector
+from pershare.functions.vectors import cosine, has_nan, let, mean_vector
 
 # Workers get this module's code with the task, so the package need not be installed on them.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -137,40 +137,42 @@ def dollar_numbers(tokens: Column) -> Column:
     parts, so the places of those tokens are enough to find all runs in one pass.
     """
     stops = F.transform(tokens, lambda t, i: F.when(~t.tok.rlike(_NUMBER_PART), i))
-    bounds = F.concat(F.array_compact(stops), F.array(F.size(tokens)))
-
-    def run(bound: Column, k: Column) -> Column:
-        parts = F.slice(tokens, bound + 2, F.get(bounds, k + 1) - bound - 1)
-        joined = F.array_join(F.transform(parts, lambda t: t.tok), "")
-        opens = F.get(tokens, bound).tok == "$"
-        return F.when(
-            opens & (F.get(bounds, k + 1) > bound + 1),
-            F.struct(F.translate(joined, ",", "").alias("num"), bound.alias("tok_idx")),
-        )
 
-    runs = F.array_compact(F.transform(bounds, run))
-    return F.filter(runs, lambda r: F.contains(r.num, F.lit(".")))
+    def runs(bounds: Column) -> Column:
+        def run(bound: Column, k: Column) -> Column:
+            length = F.get(bounds, k + 1) - bound - 1
+            parts = F.transform(F.slice(tokens, bound + 2, length), lambda t: t.tok)
+            return F.when(
+                (F.get(tokens, bound).tok == "$") & (length > 0),
+                F.struct(
+                    F.translate(F.array_join(parts, ""), ",", "").alias("num"),
+                    bound.alias("tok_idx"),
+                ),
+            )
+
+        return F.array_compact(F.transform(bounds, run))
+
+    found = let(F.concat(F.array_compact(stops), F.array(F.size(tokens))), runs)
+    return F.filter(found, lambda r: F.contains(r.num, F.lit(".")))
 
 
 def number_similarities(tokens: Column, numbers: Column, anchor: Column) -> Column:
     """Each number with the similarity of its sign's vector to the anchor.
 
-    Null where nothing can be compared: no anchor, or a vector that is no number somewhere.
+    ``sim`` is null for a vector that is no number somewhere, and so is the whole result without
+    an anchor.
     """
 
     def compare(number: Column) -> Column:
-        vector = F.get(tokens, number.tok_idx).vec
+        similarity = let(
+            F.get(tokens, number.tok_idx).vec,
+            lambda vector: F.when(~has_nan(vector), cosine(vector, anchor)),
+        )
         return F.struct(
-            F.when(~has_nan(vector), cosine(vector, anchor)).alias("sim"),
-            (-number.tok_idx).alias("place"),
-            number.num.alias("num"),
+            similarity.alias("sim"), (-number.tok_idx).alias("place"), number.num.alias("num")
         )
 
-    compared = F.transform(numbers, compare)
-    comparable = anchor.isNotNull() & ~has_nan(anchor) & ~F.exists(
-        compared, lambda n: n.sim.isNull()
-    )
-    return F.when(comparable, compared)
+    return F.when(anchor.isNotNull() & ~has_nan(anchor), F.transform(numbers, compare))
 
 
 def nearest_number(
@@ -178,15 +180,24 @@ def nearest_number(
 ) -> Column:
     """``sim``, ``place`` (negative token index) and ``num`` of the number nearest to the phrase.
 
-    Of equally near numbers the first wins; null where none is nearer than ``threshold``.
+    Of equally near numbers the first wins. Null where none is nearer than ``threshold``, or where
+    some number cannot be compared at all.
     """
-    # An array of one lets the later steps share the anchor instead of computing it per number.
-    compared = F.transform(
-        F.array(anchor_vector(tokens, phrase)),
-        lambda anchor: F.array_max(number_similarities(tokens, dollar_numbers(tokens), anchor)),
-    )
-    best = F.get(compared, F.lit(0))
-    return best if threshold is None else F.when(best.sim > threshold, best)
+
+    def best(numbers: Column) -> Column:
+        compared = let(
+            anchor_vector(tokens, phrase),
+            lambda anchor: number_similarities(tokens, numbers, anchor),
+        )
+        return let(
+            compared,
+            lambda all_: F.when(
+                ~F.exists(all_, lambda n: n.sim.isNull()), F.array_max(all_)
+            ),
+        )
+
+    found = let(dollar_numbers(tokens), lambda n: F.when(F.size(n) > 0, best(n)))
+    return found if threshold is None else let(found, lambda f: F.when(f.sim > threshold, f))
 
 
 def nearest_numbers(
