@@ -14,6 +14,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pershare.plans.spread import spread
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TABLE_SPAN = 8192
@@ -25,6 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str, *columns) -> DataFrame:
+    """Columns of a table, dealt out if it is too small a file to keep all cores busy."""
+    return spread(table(spark, sf_dir, name).select(*columns))
+
+
 def amount(n: Column) -> Column:
     """``(n % 500) / 100`` with two places, in brackets for every fifth ``n``."""
     cents = n % 500
@@ -140,7 +147,7 @@ def price_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``k`` and ``words``: the tokens of a sentence about prices, one per order."""
     k = F.col("o_orderkey")
     part = lambda n, m: ((k * n) % m).cast("string")
-    return table(spark, sf_dir, "orders").select(
+    return spread_table(spark, sf_dir, "orders", "o_orderkey").select(
         k.alias("k"),
         F.array(
             *(F.lit(w) for w in ("EPS", "of", "$")), part(1, 13), F.lit("."), part(7, 100),
@@ -198,7 +205,7 @@ def news_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
         amount(k),
         F.when(k % 4 == 0, "<tr><td>End</table>").otherwise("</table>"),
     )
-    return table(spark, sf_dir, "orders").select(
+    return spread_table(spark, sf_dir, "orders", "o_orderkey").select(
         F.concat(F.lit("news-"), k.cast("string"), F.lit(".html")).alias("filename"),
         F.concat(
             F.lit("<p>Revenue of $9.99 rose. Profit fell.</p>"),

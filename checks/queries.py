@@ -83,7 +83,9 @@ def table_elements(spark, sf_dir):
 
 def page_text_elements(spark, sf_dir):
     pages = filings.packed_filings(
-        inputs.table(spark, sf_dir, "pages"), F.col("page_id").cast("string"), F.col("html")
+        inputs.spread_table(spark, sf_dir, "pages", "page_id", "html"),
+        F.col("page_id").cast("string"),
+        F.col("html"),
     )
     parsed = elements.elements(pages)
     return shown(elements.of_kind(parsed, "text"), "filename", "elem_seq", "text")
@@ -195,8 +197,7 @@ def fallback(spark, sf_dir):
 
 
 def _sentences(spark, sf_dir):
-    texts = inputs.table(spark, sf_dir, "documents").select("doc_id", "text")
-    return text.sentences(texts)
+    return text.sentences(inputs.spread_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 def sentences(spark, sf_dir):
@@ -222,7 +223,7 @@ def dollar_numbers(spark, sf_dir):
 def anchor_tokens(spark, sf_dir):
     words = F.split("text", " ")
     anchors = text.anchor_tokens(_word_tokens(words), F.lit("loss per share the"))
-    found = inputs.table(spark, sf_dir, "documents").select(
+    found = inputs.spread_table(spark, sf_dir, "documents", "doc_id", "text").select(
         "doc_id", F.transform(anchors, lambda t: t.tok).alias("anchors")
     )
     return shown(found, "doc_id", "anchors")

@@ -48,7 +48,7 @@ _MARKUP = re.compile(
 )
 _COLSPAN = re.compile(r"colspan\s*=\s*[\"']?\s*(\d+)", re.IGNORECASE)
 _ROWSPAN = re.compile(r"rowspan\s*=\s*[\"']?\s*(\d+)", re.IGNORECASE)
-_LINE_SPACE = re.compile(r"[\r\n]+|\s{2,}")
+_LINE_SPACE = re.compile(r"\s{2,}|[\r\n]")
 # Limits set by the HTML standard.
 _MAX_COLSPAN, _MAX_ROWSPAN = 1000, 65534
 
