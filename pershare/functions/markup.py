@@ -6,6 +6,7 @@ the text between block tags. Everything after it stays in Spark expressions.
 """
 
 import html as html_entities
+import itertools
 import re
 import sys
 from collections.abc import Iterator
@@ -59,6 +60,12 @@ _BLOCK_TAGS = _TABLE_TAGS | frozenset(
     "h6 head header hr html li main nav ol p pre section ul".split()
 )
 _SHAPING = _BLOCK_TAGS | {"br", "table"}
+# A table tag in any mix of cases, opening or closing.
+_TABLE_NAMES = frozenset(
+    slash + "".join(letters)
+    for letters in itertools.product(*zip("table", "TABLE"))
+    for slash in ("", "/")
+)
 
 
 class _Grid:
@@ -158,11 +165,11 @@ def _tag(name: str | None) -> str | None:
 def _outermost_tables(names: list) -> list[tuple[int, int]]:
     """Positions of the opening and closing tags; an open table ends with the document."""
     found, depth, start = [], 0, 0
-    for i in [i for i, name in enumerate(names) if name and name[-5:].lower() == "table"]:
-        if _tag(names[i]) == "table":
+    for i in [i for i, name in enumerate(names) if name in _TABLE_NAMES]:
+        if names[i][0] != "/":
             start = start if depth else i
             depth += 1
-        elif depth and _tag(names[i]) == "/table":
+        elif depth:
             depth -= 1
             if depth == 0:
                 found.append((start, i))
