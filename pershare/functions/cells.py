@@ -41,7 +41,12 @@ def row_label(cells: Column) -> Column:
 
 def is_header(cells: Column) -> Column:
     """A row without any decimal number."""
-    return ~F.exists(cells, lambda c: c.rlike(DECIMAL))
+    return ~F.exists(cells, lambda c: _has_point(c) & c.rlike(DECIMAL))
+
+
+def _has_point(text: Column) -> Column:
+    """Cheap to find out, and without a point there is no decimal number."""
+    return F.contains(text, F.lit("."))
 
 
 def years_ascend(col_labels: Column, cells: Column, timeframe: int) -> Column:
@@ -64,7 +69,8 @@ def years_ascend(col_labels: Column, cells: Column, timeframe: int) -> Column:
 def value_token(cells: Column, from_right: Column) -> Column:
     """The signed number of the first cell that holds one, in scan direction; null without one."""
     tokens = F.filter(
-        F.transform(cells, lambda c: F.regexp_extract(c, VALUE, 0)), lambda token: token != ""
+        F.transform(cells, lambda c: F.when(_has_point(c), F.regexp_extract(c, VALUE, 0))),
+        lambda token: token != "",
     )
     return F.try_element_at(tokens, F.when(from_right, -1).otherwise(1))
 

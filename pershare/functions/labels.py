@@ -1,5 +1,8 @@
 """Expressions over the context of a value: phrase match, type labels, flags and score."""
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -7,9 +10,11 @@ from pershare.functions.patterns import (
     ADJUSTED_PATTERN,
     BASIC_SCORE,
     DILUTED_SCORE,
+    EPS_LAST_WORDS,
     EPS_PATTERN,
     GAAP_PATTERN,
     GAIN_PATTERN,
+    LONG_S,
     LOSS_PATTERN,
     LOSS_SCORE,
     NET_SCORE,
@@ -24,23 +29,27 @@ def join_context(header: Column, label: Column) -> Column:
 
 
 def mentions_eps(context: Column) -> Column:
-    return context.rlike(EPS_PATTERN)
+    """Whether a lower-case context names one of the phrases.
+
+    Most contexts hold no last word of any phrase, which is found out without the pattern.
+    """
+    return _holds_any(context, [*EPS_LAST_WORDS, LONG_S]) & context.rlike(EPS_PATTERN)
+
+
+def _holds_any(text: Column, words) -> Column:
+    return reduce(or_, [F.contains(text, F.lit(word)) for word in words])
 
 
 def is_basic(context: Column) -> Column:
-    return context.rlike("(?iU)basic")
+    return context.rlike("(?iu)basic")
 
 
 def is_diluted(context: Column) -> Column:
-    return context.rlike("(?iU)diluted")
+    return context.rlike("(?iu)diluted")
 
 
 def is_net(context: Column) -> Column:
-    lowered = F.lower(context)
-    first, *rest = [F.contains(lowered, F.lit(word)) for word in NET_WORDS]
-    for test in rest:
-        first = first | test
-    return first
+    return _holds_any(F.lower(context), NET_WORDS)
 
 
 def is_adjusted(context: Column) -> Column:

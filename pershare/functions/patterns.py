@@ -1,9 +1,10 @@
 """Phrases and regular expressions.
 
-Patterns are Java regexes. ``(?U)`` gives Unicode digits and white space, ``(?d)`` makes ``\\n`` the
-only line end that ``.`` stops at. Two classes are spelled out because Java's own differ from the
-semantics wanted here: ``SPACE`` also holds the four separator controls, and ``WORD`` is letters,
-numbers of every kind (so a superscript footnote mark belongs to its word) and the underscore.
+Patterns are Java regexes. ``(?iu)`` ignores case in every script, ``(?d)`` makes ``\\n`` the only line
+end that ``.`` stops at. Classes are spelled out because Java's own differ from the semantics wanted
+here, and because they are quicker: ``SPACE`` is white space of every kind with the four separator
+controls, ``DIGIT`` the decimal digits of every script, and ``WORD`` letters, numbers of every kind
+(so a superscript footnote mark belongs to its word) and the underscore.
 """
 
 import sys
@@ -22,22 +23,23 @@ MISSING_MARKS = ("#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"
 )
 
-SPACE = r"[\s\x1c-\x1f]"
+SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+DIGIT = r"\p{Nd}"
 WORD = r"[\p{L}\p{N}_]"
 BOUNDARY = rf"(?:(?<!{WORD})(?={WORD})|(?<={WORD})(?!{WORD}))"
 
 # Edges of a string made of white space.
-EDGE_SPACE = rf"(?U)^{SPACE}+|{SPACE}+\z"
+EDGE_SPACE = rf"^{SPACE}+|{SPACE}+\z"
 # A decimal number, with or without a whole part: such a row is no header.
-DECIMAL = r"(?U)\.\d"
+DECIMAL = rf"\.{DIGIT}"
 # A number with whole part and fraction, and the sign character that may precede it.
-VALUE = rf"(?U)[(\-]?{SPACE}*[$]?{SPACE}*\d+\.\d+"
+VALUE = rf"[(\-]?{SPACE}*[$]?{SPACE}*{DIGIT}+\.{DIGIT}+"
 
 # A cell of digits, separators and dashes only.
 PLAIN_NUMBER = r"^[-0-9.,]+\z"
 
-ADJUSTED_PATTERN = rf"(?iUd){BOUNDARY}(?:{NON_GAAP}){BOUNDARY}"
-GAAP_PATTERN = rf"(?iUd){BOUNDARY}(?:{GAAP}){BOUNDARY}"
+ADJUSTED_PATTERN = rf"(?iud){BOUNDARY}(?:{NON_GAAP}){BOUNDARY}"
+GAAP_PATTERN = rf"(?iud){BOUNDARY}(?:{GAAP}){BOUNDARY}"
 
 
 def quote(text: str) -> str:
@@ -55,7 +57,7 @@ def phrase_pattern(phrase: str) -> str:
 
 
 def any_phrase_pattern(phrases=PHRASES) -> str:
-    return "(?iUd)" + "|".join(phrase_pattern(p) for p in phrases)
+    return "(?iud)" + "|".join(phrase_pattern(p) for p in phrases)
 
 
 def required_fragments(phrases=PHRASES) -> str:
@@ -70,6 +72,9 @@ def required_fragments(phrases=PHRASES) -> str:
 
 EPS_PATTERN = any_phrase_pattern()
 EPS_FRAGMENT = required_fragments()
+EPS_LAST_WORDS = sorted({p.split()[-1] for p in PHRASES})
+# The one letter that is lower case and still matches another, an s, regardless of case.
+LONG_S = "\u017f"
 LOSS_PATTERN = any_phrase_pattern([p for p in PHRASES if p.startswith("loss")])
 GAIN_PATTERN = any_phrase_pattern([p for p in PHRASES if not p.startswith("loss")])
 

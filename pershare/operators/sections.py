@@ -83,7 +83,7 @@ def _tables(elements: Column, timeframe: int, typed_cells: bool) -> Column:
 
 
 def _may_match(table: Column) -> Column:
-    return F.exists(table.rows, lambda r: r.label.rlike("(?iU)" + EPS_FRAGMENT))
+    return F.exists(table.rows, lambda r: r.label.rlike("(?iu)" + EPS_FRAGMENT))
 
 
 def _cut_into_sections(table: Column) -> Column:

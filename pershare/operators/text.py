@@ -17,6 +17,7 @@ from pershare.functions.cells import strip
 from pershare.functions.patterns import (
     PHRASES,
     SIMILARITY_THRESHOLD,
+    SPACE,
     WORD,
     any_phrase_pattern,
     phrase_pattern,
@@ -52,7 +53,7 @@ def split_sentences(text: Column, abbreviations: tuple[str, ...] = ABBREVIATIONS
     if abbreviations:
         known = "|".join(quote(a) for a in abbreviations)
         ends += rf"(?<!(?<!{WORD})(?i:{known})\.)"
-    return F.split(text, rf"(?U){ends}\s+")
+    return F.split(text, rf"{ends}{SPACE}+")
 
 
 def sentences(texts: DataFrame, abbreviations: tuple[str, ...] = ABBREVIATIONS) -> DataFrame:
@@ -82,7 +83,7 @@ def sentence_variants(
         F.array(
             *(
                 F.when(
-                    sentence.rlike("(?iUd)" + phrase_pattern(phrase)),
+                    sentence.rlike("(?iud)" + phrase_pattern(phrase)),
                     F.struct(F.lit(i).alias("variant_idx"), F.lit(phrase).alias("phrase")),
                 )
                 for i, phrase in enumerate(phrases)

@@ -38,7 +38,7 @@ def test_context_tests(spark, strings):
         labels.mentions_eps(text).alias("eps"),
         text.rlike(p.ADJUSTED_PATTERN).alias("adjusted"),
         text.rlike(p.GAAP_PATTERN).alias("gaap"),
-        text.rlike("(?iU)" + p.EPS_FRAGMENT).alias("fragment"),
+        text.rlike("(?iu)" + p.EPS_FRAGMENT).alias("fragment"),
         labels.is_basic(text).alias("basic"),
         labels.type_labels(text).alias("labels"),
     )
