@@ -290,13 +290,15 @@ ORACLES = {
         from filings left join by_table using (filename) left join by_text using (filename)""",
     "sentences": f"""with {SENTENCES}
         select doc_id, sent_idx, sentence from sentences where sentence <> ''""",
-    "sentence_variants": rf"""with {SENTENCES},
-        phrases(variant_idx, phrase, pattern) as (values
-          (0, 'the', '(?i)(^|[^\pL\pN_])thes?($|[^\pL\pN_])'),
-          (1, 'of the', '(?i)(^|[^\pL\pN_])ofs?[^\n]*?thes?($|[^\pL\pN_])'),
-          (2, 'is on', '(?i)(^|[^\pL\pN_])iss?[^\n]*?ons?($|[^\pL\pN_])'))
-        select doc_id, sent_idx, cast(variant_idx as bigint) as variant_idx, phrase
-        from sentences join phrases on regexp_matches(sentence, pattern)""",
+    "sentence_variants": rf"""with {SENTENCES}
+        select doc_id, sent_idx, cast(0 as bigint) as variant_idx, 'the' as phrase from sentences
+        where regexp_matches(sentence, '(?i)(^|[^\pL\pN_])thes?($|[^\pL\pN_])')
+        union all
+        select doc_id, sent_idx, 1, 'of the' from sentences
+        where regexp_matches(sentence, '(?i)(^|[^\pL\pN_])ofs?[^\n]*?thes?($|[^\pL\pN_])')
+        union all
+        select doc_id, sent_idx, 2, 'is on' from sentences
+        where regexp_matches(sentence, '(?i)(^|[^\pL\pN_])iss?[^\n]*?ons?($|[^\pL\pN_])')""",
     "dollar_numbers": r"""with
         words as (
           select o_orderkey as k, ['EPS', 'of', '$', cast(o_orderkey % 13 as varchar), '.',
