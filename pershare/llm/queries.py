@@ -5,18 +5,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import language
 from .line_dedup import dedup_lines
+from .lm_score import score_documents
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(key: str, n: int):
+    """Fold of a row by the checksum of its key as text; a null key is in fold 0."""
+    return F.coalesce(F.crc32(F.col(key).cast("string")) % n, F.lit(0))
+
+
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (fold("doc_id", 5) != 1).alias("train"))
+    return score_documents(docs).select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language.fit(docs.where(fold("doc_id", 4) != 2))
+    asked = docs.select("doc_id", "text", (fold("doc_id", 4) == 2).alias("held_out"))
+    return language.predict(asked, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf_dir, "documents"), 10)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
 QUERIES = {
+    "op3_lm_scoring": op3_lm_scoring,
+    "op6_language_id": op6_language_id,
     "op9_line_dedup": op9_line_dedup,
 }
