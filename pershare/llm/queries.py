@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import language
+from .jaccard_join import near_components
 from .line_dedup import dedup_lines
 from .lm_score import score_documents
+from .suffix_dedup import drop_repeats
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +21,11 @@ def fold(key: str, n: int):
     return F.coalesce(F.crc32(F.col(key).cast("string")) % n, F.lit(0))
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = drop_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), 400)
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", (fold("doc_id", 5) != 1).alias("train"))
     return score_documents(docs).select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
@@ -36,8 +43,15 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op3_lm_scoring": op3_lm_scoring,
     "op6_language_id": op6_language_id,
     "op9_line_dedup": op9_line_dedup,
+    "op10_jaccard_join": op10_jaccard_join,
 }
