@@ -1,6 +1,46 @@
 """SQL for the queries that SQL can express."""
 
+
+
+def _mixing(docs: str, select: str) -> str:
+    """Raking of ``docs`` unrolled; ``select`` takes from the kept rows."""
+    margins = {"source": "s", "lang": "l", "topic": "t"}
+    steps, last = [], "w0"
+    for i in range(8):
+        for margin in margins:
+            name = f"w{len(steps) + 1}"
+            held = f"sum(weight) over (partition by {margin})"
+            steps.append(f"{name} as (select * replace (case when {held} > 0 then weight * target_{margin} / {held} else weight end as weight) from {last})")
+            last = name
+    targets = ", ".join(f"{s} as (select {m}, pow(sum(tokens), 0.5) / sum(pow(sum(tokens), 0.5)) over () * (select sum(tokens) from cells) as target_{m} from cells group by {m})" for m, s in margins.items())
+    joins = " ".join(f"join {s} on c.{m} is not distinct from {s}.{m}" for m, s in margins.items())
+    caps, factor = [], "0.5"
+    for i in range(3):
+        caps.append(f"c{i} as (select {factor} * 0.5 * sum(tokens) / sum(least(1.0, {factor} * ratio) * tokens) as c from ratios)")
+        factor = f"(select c from c{i})"
+    return rf"""
+with topics as (
+    select *, case when contains(coalesce(text, ''), 'licensed under') then 'legal' when contains(coalesce(text, ''), ' | ') then 'table' when contains(coalesce(text, ''), '$$$') then 'noise'
+        when contains(coalesce(text, ''), '!! ') then 'shouting' when contains(coalesce(text, ''), chr(10) || '- ') then 'list' else 'prose' end as topic,
+        len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) as n_tokens
+    from {docs}
+), cells as (select source, lang, topic, sum(n_tokens)::bigint as tokens from topics group by all),
+{targets},
+w0 as (select c.*, target_source, target_lang, target_topic, c.tokens::double as weight from cells c {joins}),
+{", ".join(steps)},
+ratios as (select *, case when tokens > 0 then weight / tokens else 0 end as ratio from {last}),
+{", ".join(caps)},
+kept as (
+    select d.*, least(1.0, {factor} * r.ratio) as p from topics d join ratios r
+    on d.source is not distinct from r.source and d.lang is not distinct from r.lang and d.topic = r.topic
+    where ('0x' || substr(md5(coalesce(d.doc_id::varchar, '')), 1, 12))::bigint::double / 281474976710656.0 < least(1.0, {factor} * r.ratio)
+)
+{select}
+"""
+
+
 ORACLES = {
+    "op5_mixing": _mixing("documents", "select doc_id, topic, n_tokens, round(p, 6) as keep_probability from kept"),
     "op9_line_dedup": r"""
 with lines as (
     select row_number() over () as r, doc_id, string_split(coalesce(text, ''), chr(10)) as own from documents

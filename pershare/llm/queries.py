@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import language
+from .collision_search import nearest
+from .decontaminate import contaminations
 from .jaccard_join import near_components
 from .line_dedup import dedup_lines
 from .lm_score import score_documents
+from .mixing import mixed_sample, topic
 from .suffix_dedup import drop_repeats
 
 
@@ -31,6 +34,12 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(docs).select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").withColumn("topic", topic())
+    kept = mixed_sample(docs, ["source", "lang", "topic"])
+    return kept.select("doc_id", "topic", "n_tokens", F.round("keep_probability", 6).alias("keep_probability"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.fit(docs.where(fold("doc_id", 4) != 2))
@@ -38,6 +47,16 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(asked, model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_windows", "edits", "first", "last")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf_dir, "documents"), 10)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
@@ -51,7 +70,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op3_lm_scoring": op3_lm_scoring,
+    "op5_mixing": op5_mixing,
     "op6_language_id": op6_language_id,
+    "op7_nearest_neighbours": op7_nearest_neighbours,
+    "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
     "op10_jaccard_join": op10_jaccard_join,
 }
