@@ -12,6 +12,7 @@ from .jaccard_join import near_components
 from .line_dedup import dedup_lines
 from .lm_score import score_documents
 from .mixing import mixed_sample, topic
+from .quality import quality
 from .suffix_dedup import drop_repeats
 
 
@@ -29,6 +30,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", (fold("doc_id", 5) != 1).alias("train"))
     return score_documents(docs).select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
@@ -69,6 +74,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_quality": op2_quality,
     "op3_lm_scoring": op3_lm_scoring,
     "op5_mixing": op5_mixing,
     "op6_language_id": op6_language_id,
