@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, chunks, mixed, partitions, row_keys, signed, stored
+from .common import arrow_map, chunks, free_name, mixed, partitions, row_keys, signed, stored
 from .components import components
 from .shingles import common, set_key, shingle_sets
 
@@ -280,7 +280,7 @@ def _one_set(text: pa.StringScalar) -> np.ndarray:
 
 
 def near_components(docs: DataFrame) -> DataFrame:
-    """A row for each of ``docs`` (doc_id integer, text): doc_id, r1 and r2 (its row key), n_shingles, component_id, n_links."""
+    """A row for each of ``docs`` (doc_id integer, text): doc_id, r1 and r2 (its row key), n_shingles, component_id, n_links, and root, a key of the component (null: empty set)."""
     spark, size = docs.sparkSession, partitions(docs.sparkSession)
     r1, r2 = row_keys("doc_id", "text")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), r1.alias("r1"), r2.alias("r2"), "text")
@@ -315,6 +315,18 @@ def near_components(docs: DataFrame) -> DataFrame:
     degree = linked.select("a").unionByName(linked.selectExpr("b as a")).groupBy("a").agg(F.count("*").alias("n_links")).toDF("sid", "n_links")
     classes = known.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("least")).join(labels.toDF("sid", "root"), "sid", "left").join(degree, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     classes = stored(classes, "classes")
-    named = classes.join(classes.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("sid", "component_id", "n_links")
-    out = known.where("n > 0").join(named, "sid").select("doc_id", "r1", "r2", F.col("n").alias("n_shingles"), "component_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
-    return out.unionByName(known.where("n = 0").select("doc_id", "r1", "r2", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links")))
+    named = classes.join(classes.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("sid", "component_id", "n_links", "root")
+    out = known.where("n > 0").join(named, "sid").select("doc_id", "r1", "r2", F.col("n").alias("n_shingles"), "component_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "root")
+    return out.unionByName(known.where("n = 0").select("doc_id", "r1", "r2", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("long").alias("root")))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each component, the one with the smallest doc_id; empty sets all stay."""
+    r1, r2, one, copy = (free_name(docs, c) for c in ("r1", "r2", "one", "copy"))
+    k1, k2 = row_keys("doc_id", "text")
+    found = near_components(docs)
+    chosen = found.where("n_shingles > 0").groupBy("root").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "r1", "r2")).alias("m"))
+    keys = chosen.select("m.r1", "m.r2", F.lit(True).alias("one")).unionByName(found.where("n_shingles = 0").select("r1", "r2", F.lit(False).alias("one")).distinct()).toDF(r1, r2, one)
+    kept = docs.withColumns({r1: k1, r2: k2}).join(keys, [r1, r2])
+    # rows that repeat have one key: of those chosen one stays
+    return kept.withColumn(copy, F.when(F.col(one), F.lit(0)).otherwise(F.monotonically_increasing_id())).dropDuplicates([r1, r2, copy]).drop(r1, r2, one, copy)

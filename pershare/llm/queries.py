@@ -14,6 +14,7 @@ from .lm_score import score_documents
 from .mixing import mixed_sample, topic
 from .quality import quality
 from .suffix_dedup import drop_repeats
+from .wrappers import extract
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +40,11 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(docs).select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").withColumn("topic", topic())
     kept = mixed_sample(docs, ["source", "lang", "topic"])
@@ -76,6 +82,7 @@ QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality": op2_quality,
     "op3_lm_scoring": op3_lm_scoring,
+    "op4_html_extraction": op4_html_extraction,
     "op5_mixing": op5_mixing,
     "op6_language_id": op6_language_id,
     "op7_nearest_neighbours": op7_nearest_neighbours,
