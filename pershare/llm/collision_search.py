@@ -5,7 +5,7 @@ is the smallest distance. Each of ``projections`` random directions gives one so
 window around the query's own projection is widened by the factor ``growth`` again and again (virtual rehashing: no
 hash table is built anew), and the windows that hold a vector are counted. A vector in at least ``threshold`` of the
 windows is verified on the original vectors, in double precision. A query stops when ``share`` of the block has been
-verified besides its k, or the windows hold everything.
+verified besides 6 k, or the windows hold everything.
 
 Vectors lie in blocks of about ``block`` rows, queries in blocks of ``query_block``; each pair of blocks is a task of fixed
 size, its best k go on, and the best k of all blocks win. All rows are indexed, nothing is sampled.
@@ -47,7 +47,7 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray
     n = len(vectors)
     bins = np.empty((projections, n), np.uint8)
     np.put_along_axis(bins, order, (np.arange(n) * 256 // n).astype(np.uint8)[None, :], 1)
-    enough = min(n, k + int(np.ceil(share * n)))
+    enough = min(n, 6 * k + int(np.ceil(share * n)))
     least = max(1, int(np.ceil(threshold * projections)))
     found = []
     for first in range(0, len(queries), TOGETHER):

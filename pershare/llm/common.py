@@ -159,3 +159,37 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
 
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
+
+
+#: Bits of a row filter, as a power of two, and the pieces in which it is gathered.
+FILTER_BITS = 24
+FILTER_PIECES = 64
+
+
+def _gathered(key, table):
+    bits = np.zeros((1 << FILTER_BITS) // FILTER_PIECES, bool)
+    bits[table.column("place").to_numpy()] = True
+    return pa.table({"piece": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+
+
+def row_filter(keys: DataFrame, column: str) -> bytes:
+    """Which hashed places the keys of a long column take: a filter of fixed size, 2 MB, that lets all of them through and few others.
+
+    It only saves shuffling rows that a join would drop; with very many keys it lets everything through.
+    """
+    place = F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS))
+    size = (1 << FILTER_BITS) // FILTER_PIECES
+    taken = keys.select(F.floor(place / size).cast("int").alias("piece"), (place % size).cast("int").alias("place")).distinct()
+    bits = np.zeros((FILTER_PIECES, size // 8), np.uint8)
+    for row in taken.groupBy("piece").applyInArrow(_gathered, "piece int, bits binary").collect():
+        bits[row["piece"]] = np.frombuffer(row["bits"], np.uint8)
+    return bits.tobytes()
+
+
+def passes(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Which rows a filter lets through, by ``filter_place`` of their keys."""
+    return (bits[places >> 3] >> (7 - (places & 7)).astype(np.uint8)) & 1 == 1
+
+
+def filter_place(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS))

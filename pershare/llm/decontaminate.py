@@ -106,6 +106,8 @@ class Patterns:
         border = np.flatnonzero(np.r_[True, pair[order][1:] != pair[order][:-1]])
         count = np.diff(np.r_[border, len(pair)])
         order = order[np.repeat(count >= self.least[pattern[order[border]]], count)]
+        if not len(order):
+            return none
         spot, pattern = spot[order], pattern[order]
         diagonal = spot - place[order] % WINDOW
         step = self.edits[pattern] + 1

@@ -1,16 +1,17 @@
 """Size-aware heavy-light join of documents by the Jaccard similarity of their word-shingle sets.
 
 Equal sets are one class from the start. The shingles of a set are put in one order for all sets: by how often they
-occur (in steps, from a sketch of fixed size over all documents), rare ones first, then by hash. Two sets of
+occur (as a sketch of fixed size over all documents has it), rare ones first, then by hash. Two sets of
 similarity 0.8 or more share one of the first ``n - ceil(0.8 n) + 1`` shingles, and two of the first ``n - ceil(0.8 n) + 2``.
 
 *Light* sets, up to a boundary size, are found by all subsets of two of the latter; *heavy* ones by inverted lists of the
 former. Light sets large enough to have heavy partners are in the lists as well. The boundary is where the rows for
 subsets and the rows to scan in lists cost least, worked out from the sizes of all sets.
 
-Lists are read twice. First each set is compared with its next few partners of fitting size, which links
-groups of near copies in linear time. Then, in each list, only sets are compared that are not connected yet: all
-of them, so no link between components is lost. Every candidate pair is checked on the whole sets.
+Lists are read several times. First each set is compared with its next few neighbours of fitting size, which links
+most of a group of near copies in linear time. Every further reading goes farther and only compares sets that are not
+connected yet; the last goes to the end, so no link between components is lost. Every candidate pair is checked on the
+whole sets.
 
 Rules. Rows are documents. A set has the different 5-word shingles of the text with A-Z lower-cased; with fewer words the
 whole text is one shingle; null or empty text and text without words has an empty set and is linked with nothing.
@@ -24,20 +25,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, chunks, free_name, mixed, partitions, row_keys, signed, stored
+from .common import arrow_map, chunks, filter_place, free_name, mixed, partitions, passes, row_filter, row_keys, signed, stored
 from .components import components
 from .shingles import common, set_key, shingle_sets
 
 #: Cells of the sketch of shingle counts, as a power of two, and the pieces in which they are summed.
-CELL_BITS = 20
+CELL_BITS = 22
 PIECES = 64
 #: What scanning an entry of an inverted list costs, in rows of subsets.
 SCAN_COST = 4
-#: Partners that each set is compared with in the first reading of a list.
-NEXT = 4
+#: Distances between the places of two sets in a list that each reading of the lists compares; the last has no end.
+READINGS = ((1, 4), (5, 32), (33, 256), (257, 1 << 62))
 #: Entries of a list that are compared in one piece; longer lists are cut, and pairs of pieces compared as well.
 BLOCK = 1 << 16
 #: Entries gathered before they are handed on, by bucket.
@@ -50,9 +52,14 @@ def least_overlap(n: np.ndarray) -> np.ndarray:
     return (4 * n + 4) // 5
 
 
+def _count(cells: np.ndarray, held: list[np.ndarray]) -> None:
+    place, n = np.unique(np.concatenate(held), return_counts=True)
+    cells[place] += n.astype(np.uint32)
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each document, and the summed cells of all shingles (each class once a task)."""
-    cells, held, seen = np.zeros(1 << CELL_BITS, np.int64), [], set()
+    cells, held, seen = np.zeros(1 << CELL_BITS, np.uint32), [], set()
     for rows, data, offsets in chunks(batches):
         sids, sizes = [], []
         for s in shingle_sets(data, offsets):
@@ -63,32 +70,33 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 seen.add(key)
                 held.append((s >> np.uint64(64 - CELL_BITS)).astype(np.int64))
         if sum(map(len, held)) > FLUSH:
-            cells += np.bincount(np.concatenate(held), minlength=len(cells))
+            _count(cells, held)
             held = []
         made = {c: rows.column(c) for c in ("doc_id", "r1", "r2")}
         yield pa.RecordBatch.from_pydict(made | {"sid": pa.array(sids, pa.int64()), "n": pa.array(sizes, pa.int64()), "piece": pa.nulls(len(sids), pa.int32()), "cells": pa.nulls(len(sids), pa.binary())})
     if held:
-        cells += np.bincount(np.concatenate(held), minlength=len(cells))
+        _count(cells, held)
     if cells.any():
         none = pa.nulls(PIECES, pa.int64())
-        parts = [part.astype("<u4").tobytes() for part in cells.reshape(PIECES, -1)]
+        squeeze = zstandard.ZstdCompressor(1).compress
+        parts = [squeeze(part.tobytes()) for part in cells.reshape(PIECES, -1)]
         yield pa.RecordBatch.from_pydict({"doc_id": none, "r1": none, "r2": none, "sid": none, "n": none, "piece": pa.array(range(PIECES), pa.int32()), "cells": pa.array(parts, pa.binary())})
 
 
 def _sum_cells(key, table):
     total = np.zeros((1 << CELL_BITS) // PIECES, np.int64)
     for part in table.column("cells").to_pylist():
-        total += np.frombuffer(part, "<u4")
+        total += np.frombuffer(zstandard.ZstdDecompressor().decompress(part), np.uint32)
     return pa.table({"piece": pa.array([key[0].as_py()], pa.int32()), "cells": pa.array([total.tobytes()], pa.binary())})
 
 
 def rarity(pieces: DataFrame) -> np.ndarray:
-    """A step for each cell, 0 for all but the cells that have far more than the mean; the array has a fixed size."""
+    """Eight steps for each doubling of a cell's count, from a quarter of the mean up; the array has a fixed size."""
     cells = np.zeros((PIECES, (1 << CELL_BITS) // PIECES), np.int64)
     for row in pieces.groupBy("piece").applyInArrow(_sum_cells, "piece int, cells binary").collect():
         cells[row["piece"]] = np.frombuffer(row["cells"], np.int64)
     cells = cells.ravel()
-    return np.maximum(0, np.floor(2 * np.log2(np.maximum(cells, 1) / max(1, cells.mean())))).astype(np.uint8)
+    return np.clip(16 + 8 * np.log2(np.maximum(cells, 0.1) / max(1, cells.mean())), 0, 255).astype(np.uint8)
 
 
 def boundary(sizes: dict[int, int]) -> int:
@@ -203,8 +211,8 @@ def _entry_rows(out: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"list": signed(names), "side": np.concatenate([s for *_, s in out]), "sid": e["sid"].astype(np.int64), "n": e["n"].astype(np.int64), "rest": e["rest"].astype(np.int64)})
 
 
-def _pairer(everything: bool):
-    """Pairs of a list whose sizes and places allow enough in common: with the next few, or all not yet connected."""
+def _pairer(first: int, last: int):
+    """Pairs of a list, so far apart, that are not connected yet and whose sizes and places allow enough in common."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -222,24 +230,18 @@ def _pairer(everything: bool):
         out, size = [], 0
         for a, b in zip(starts, ends):
             one = {c: rows[c][a:b] for c in rows}
-            if everything and (one["root"] == one["root"][0]).all():
+            n, rest, side, root = one["n"], one["rest"], one["side"], one["root"]
+            if (root == root[0]).all():
                 continue
-            places = np.arange(b - a)
-            met = np.zeros(b - a, np.int64)
-            for step in range(1, b - a):
+            reach, places = 9 * rest // 4 - n, np.arange(b - a)
+            for step in range(first, min(last + 1, b - a)):
                 i, j = places[:-step], places[step:]
-                n, rest, side = one["n"], one["rest"], one["side"]
-                near = n[j] <= 9 * rest[i] // 4 - n[i]
-                if not near.any() and step > 1 and not (n[j][:1] <= (9 * rest // 4 - n).max()).any():
-                    break
-                ok = near & (9 * rest[j] >= 4 * (n[i] + n[j])) & ((side[i] == 0) | (side[i] != side[j])) & (one["sid"][i] != one["sid"][j])
-                if everything:
-                    ok &= one["root"][i] != one["root"][j]
-                else:
-                    ok &= met[i] < NEXT
-                    met[i[ok]] += 1
-                    if step > NEXT and (met[: b - a - step] >= NEXT).all():
-                        break
+                near = n[j] <= reach[i]
+                if not near.any():
+                    if side[0] == 0:
+                        break  # sizes only grow
+                    continue
+                ok = near & (9 * rest[j] >= 4 * (n[i] + n[j])) & ((side[i] == 0) | (side[i] != side[j])) & (root[i] != root[j])
                 if ok.any():
                     out.append((one["sid"][i[ok]], one["sid"][j[ok]]))
                     size += len(out[-1][0])
@@ -257,6 +259,22 @@ def _pairer(everything: bool):
     return pairs
 
 
+def _packer(held):
+    """Texts of rows that the filter lets through, compressed."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(held.value, np.uint8)
+        squeeze = zstandard.ZstdCompressor(3).compress
+        for batch in batches:
+            keep = batch.filter(pa.array(passes(bits, batch.column("place").to_numpy())))
+            for first in range(0, keep.num_rows, 1000):
+                part = keep.slice(first, 1000)
+                packed = [squeeze((text or "").encode()) for text in part.column("text").to_pylist()]
+                yield pa.RecordBatch.from_pydict({"r1": part.column("r1"), "r2": part.column("r2"), "text": pa.array(packed, pa.binary())})
+
+    return pack
+
+
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs that are similar; rows come sorted by the first of the pair."""
     last, own = None, None
@@ -274,8 +292,8 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield part.select(["a", "b"]).filter(pa.array(keep))
 
 
-def _one_set(text: pa.StringScalar) -> np.ndarray:
-    data = np.frombuffer(text.as_buffer(), np.uint8)
+def _one_set(text: pa.BinaryScalar) -> np.ndarray:
+    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(text.as_buffer()), np.uint8)
     return shingle_sets(data, np.array([0, len(data)]))[0]
 
 
@@ -295,23 +313,28 @@ def near_components(docs: DataFrame) -> DataFrame:
     def ordered(entries: DataFrame) -> DataFrame:
         return entries.repartition(size, "list").sortWithinPartitions("list", "side", "n", "sid")
 
-    near = stored(arrow_map(ordered(lists.withColumn("root", F.col("sid"))), _pairer(False), "a long, b long").distinct(), "pairs")
     whole = lists.select("sid").distinct().join(known.groupBy("sid").agg(F.min(F.struct("r1", "r2")).alias("r")), "sid")
-    whole = stored(texts.select("r1", "r2", "text").join(whole.select("sid", "r.r1", "r.r2"), ["r1", "r2"]).dropDuplicates(["sid"]).select("sid", "text"), "sets")
+    whole = stored(whole.select("sid", "r.r1", "r.r2"), "wanted")
+    held = spark.sparkContext.broadcast(row_filter(whole, "r1"))
+    packed = arrow_map(texts.select("r1", "r2", filter_place("r1").alias("place"), "text"), _packer(held), "r1 long, r2 long, text binary")
+    whole = stored(packed.join(whole, ["r1", "r2"]).dropDuplicates(["sid"]).select("sid", "text"), "sets")
 
     def verified(pairs: DataFrame) -> DataFrame:
         joined = pairs.join(whole.toDF("b", "right"), "b").join(whole.toDF("a", "left"), "a")
         return stored(arrow_map(joined.sortWithinPartitions("a"), _similar, "a long, b long"), "links")
 
-    links = verified(near)
-    labels = components(links)
-    left = lists.join(labels.toDF("sid", "root"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    open_ = left.groupBy("list").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("list")
-    far = arrow_map(ordered(left.join(open_, "list", "left_semi")), _pairer(True), "a long, b long").distinct().join(near, ["a", "b"], "left_anti")
-    more = verified(far)
-    labels = stored(components(labels.selectExpr("id as a", "root as b").unionByName(more)), "labels")
+    labels, linked = None, None
+    for reading in READINGS:
+        if labels is None:
+            asked = lists.withColumn("root", F.col("sid"))
+        else:
+            asked = lists.join(labels.toDF("sid", "root"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+            open_ = asked.groupBy("list").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("m")).where((F.col("x") != F.col("y")) & (F.col("m") > reading[0])).select("list")
+            asked = asked.join(open_, "list", "left_semi")
+        found = verified(arrow_map(ordered(asked), _pairer(*reading), "a long, b long").distinct())
+        linked = found if linked is None else linked.unionByName(found)
+        labels = stored(components(found if labels is None else labels.selectExpr("id as a", "root as b").unionByName(found)), "labels")
 
-    linked = links.unionByName(more)
     degree = linked.select("a").unionByName(linked.selectExpr("b as a")).groupBy("a").agg(F.count("*").alias("n_links")).toDF("sid", "n_links")
     classes = known.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("least")).join(labels.toDF("sid", "root"), "sid", "left").join(degree, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     classes = stored(classes, "classes")
