@@ -41,14 +41,15 @@ _ARROW_TYPE = pa.list_(
 _MARKUP = re.compile(
     r"<(?:!--.*?(?:-->|\Z)"
     r"|[!?][^>]*+>"
-    r"|(?i:script\b[^>]*+>.*?(?:</script\s*+>|\Z))"
-    r"|(?i:style\b[^>]*+>.*?(?:</style\s*+>|\Z))"
-    r"|(?i:title\b[^>]*+>.*?(?:</title\s*+>|\Z))"
-    r"|(/?[a-zA-Z][^\s>/]*+)([^>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^>\"']*+)*+)>)",
+    r"|(?i:script\b[^<>]*+>.*?(?:</script\s*+>|\Z))"
+    r"|(?i:style\b[^<>]*+>.*?(?:</style\s*+>|\Z))"
+    r"|(?i:title\b[^<>]*+>.*?(?:</title\s*+>|\Z))"
+    # a quoted value may hold anything; where quotes do not pair, the tag ends at the next ``>``
+    r"|(/?[a-zA-Z][^\s<>/]*+)([^<>\"']*+(?:(?:\"[^\"]*+\"|'[^']*+')[^<>\"']*+)*+(?=>)|[^<>]*+)>)",
     re.DOTALL,
 )
-_COLSPAN = re.compile(r"colspan\s*=\s*[\"']?\s*(\d+)", re.IGNORECASE)
-_ROWSPAN = re.compile(r"rowspan\s*=\s*[\"']?\s*(\d+)", re.IGNORECASE)
+_COLSPAN = re.compile(r"(?<![\w-])colspan\s*=\s*[\"']?\s*(\d+)", re.IGNORECASE)
+_ROWSPAN = re.compile(r"(?<![\w-])rowspan\s*=\s*[\"']?\s*(\d+)", re.IGNORECASE)
 _LINE_SPACE = re.compile(r"\s{2,}|[\r\n]")
 # Limits set by the HTML standard.
 _MAX_COLSPAN, _MAX_ROWSPAN = 1000, 65534
@@ -145,7 +146,12 @@ class _Grid:
 
 def _span(pattern: re.Pattern, attrs: str, limit: int) -> int:
     found = pattern.search(attrs) if "span" in attrs.lower() else None
-    return min(max(int(found[1]), 1), limit) if found else 1
+    if not found:
+        return 1
+    digits = found[1].lstrip("0")
+    if not digits:  # rowspan=0 reaches to the end of the section
+        return limit if pattern is _ROWSPAN else 1
+    return min(int(digits), limit) if len(digits) < 10 else limit
 
 
 def _cell_text(raw: str) -> str:

@@ -47,7 +47,9 @@ def drop_empty_columns(grid: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFra
         .drop("last_row")
     )
     keep_used = lambda values: F.filter(values, lambda _, i: F.array_contains("kept", i))
-    pruned = grid.withColumn("block", _block("row_idx", block_rows)).join(kept, [*KEYS, "block"])
+    pruned = grid.withColumn("block", _block("row_idx", block_rows)).join(kept, [*KEYS, "block"], "left")
+    # rows without cells have no columns to keep, but stay
+    pruned = pruned.withColumn("kept", F.coalesce("kept", F.array().cast("array<int>")))
     pruned = pruned.withColumn("cells", keep_used(F.col("cells")))
     if "col_labels" in grid.columns:
         pruned = pruned.withColumn("col_labels", keep_used(F.col("col_labels")))

@@ -49,11 +49,13 @@ def split_sentences(text: Column, abbreviations: tuple[str, ...] = ABBREVIATIONS
 
     A point within a number or a word ends nothing, nor does one after an abbreviation.
     """
-    ends = r"(?<=[.!?][\"')\]”’]{0,3})"
+    ends = r"([.!?][\"')\]”’]*+)"
     if abbreviations:
         known = "|".join(quote(a) for a in abbreviations)
         ends += rf"(?<!(?<!{WORD})(?i:{known})\.)"
-    return F.split(text, rf"{ends}{SPACE}+")
+    # a noncharacter stands for the white space at the ends, so any number of closing marks may come before it
+    marked = F.regexp_replace(F.replace(text, F.lit("\uffff"), F.lit(" ")), rf"{ends}{SPACE}+", "$1\uffff")
+    return F.split(marked, "\uffff")
 
 
 def sentences(texts: DataFrame, abbreviations: tuple[str, ...] = ABBREVIATIONS) -> DataFrame:
