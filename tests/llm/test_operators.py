@@ -16,7 +16,7 @@ from pershare.llm.collision_search import nearest
 from pershare.llm.components import components
 from pershare.llm.cuckoo import Cuckoo
 from pershare.llm.decontaminate import clean_documents, contaminations
-from pershare.llm.jaccard_join import near_components, one_of_each
+from pershare.llm.jaccard_join import PARITIES, may_be_similar, near_components, one_of_each, parities
 from pershare.llm.line_dedup import LineRegistry, dedup_lines
 from pershare.llm.mixing import mixed_sample, probabilities
 from pershare.llm.oracles import ORACLES
@@ -146,6 +146,22 @@ def test_jaccard_join(spark):
     assert got == brute_components(rows)
 
 
+def test_parities_lose_no_similar_pair(spark):
+    rng = np.random.default_rng(3)
+    rows, similar = [], []
+    for _ in range(400):
+        n = int(rng.integers(1, 400))
+        own = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        changed = int(rng.integers(0, n // 3 + 2))
+        other = np.unique(np.r_[own[changed // 2 :], rng.integers(0, 1 << 63, changed).astype(np.uint64)])
+        both = len(np.intersect1d(own, other))
+        similar.append(100 * both >= 80 * (n + len(other) - both))
+        rows.append((len(rows), n, len(other), *parities(own).tolist(), *parities(other).tolist()))
+    names = ["i", "n_a", "n_b", *(f"{p}_{side}" for side in "ab" for p in PARITIES)]
+    kept = {r.i for r in spark.createDataFrame(rows, names).where(may_be_similar()).collect()}
+    assert {i for i, s in enumerate(similar) if s} <= kept and 0 < sum(similar) <= len(kept) < len(rows)
+
+
 def test_one_of_each(spark):
     rows = [(1, "a b c d e f g"), (2, "A b c d e f g"), (3, "other words are in this one"), (3, "other words are in this one"), (4, None), (5, "")]
     df = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA + ", one string")
