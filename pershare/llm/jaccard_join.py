@@ -292,6 +292,17 @@ def _packer(held):
     return pack
 
 
+def _chooser(held):
+    """Texts that the filter lets through."""
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(held.value, np.uint8)
+        for batch in batches:
+            yield batch.select(["sid", "text"]).filter(pa.array(passes(bits, batch.column("place").to_numpy())))
+
+    return choose
+
+
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Pairs that are similar; rows come sorted by the first of the pair."""
     last, own = None, None
@@ -334,14 +345,15 @@ def near_components(docs: DataFrame) -> DataFrame:
     whole = stored(whole.select("sid", "r.r1", "r.r2"), "wanted")
     held = spark.sparkContext.broadcast(row_filter(whole, "r1"))
     packed = arrow_map(texts.select("r1", "r2", filter_place("r1").alias("place"), "text"), _packer(held), "r1 long, r2 long, text binary, n long, " + ", ".join(f"{p} long" for p in PARITIES))
-    whole = stored(packed.join(whole, ["r1", "r2"]).dropDuplicates(["sid"]).select("sid", "text", "n", *PARITIES), "sets")
+    whole = stored(packed.join(whole, ["r1", "r2"]).dropDuplicates(["r1", "r2", "sid"]).select("sid", "text", "n", *PARITIES), "sets")
 
     def marks(side: str) -> DataFrame:
         return whole.select(F.col("sid").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("n", *PARITIES)))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        texts = whole.select("sid", "text")
-        near = pairs.join(marks("a"), "a").join(marks("b"), "b").where(may_be_similar()).select("a", "b")
+        near = stored(pairs.join(marks("a"), "a").join(marks("b"), "b").where(may_be_similar()).select("a", "b"), "near")
+        asked = spark.sparkContext.broadcast(row_filter(near.selectExpr("explode(array(a, b)) as sid"), "sid"))
+        texts = arrow_map(whole.select("sid", filter_place("sid").alias("place"), "text"), _chooser(asked), "sid long, text binary")
         joined = near.join(texts.toDF("b", "right"), "b").join(texts.toDF("a", "left"), "a")
         return stored(arrow_map(joined.sortWithinPartitions("a"), _similar, "a long, b long"), "links")
 
