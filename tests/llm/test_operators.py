@@ -23,7 +23,7 @@ from pershare.llm.oracles import ORACLES
 from pershare.llm.quality import posteriors, quality
 from pershare.llm.queries import QUERIES
 from pershare.llm.suffix_dedup import drop_repeats
-from pershare.llm.wrappers import aligned, blocks, extract, folded
+from pershare.llm.wrappers import aligned, blocks, extract, folded, matched
 
 SF_DIR = "/root/testdata/sf0.001"
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -374,3 +374,19 @@ def test_pipeline(spark):
     whole = corpus_pipeline.run(spark, SF_DIR).collect()
     last = corpus_pipeline.STAGES[-1][1](spark, kept, SF_DIR).collect()
     assert sorted(r.doc_id for r in whole) == sorted(r.doc_id for r in last) and 0 < len(whole) < sizes[3]
+
+
+def site(spark, bodies):
+    pages = [(i, f"http://site.example/{i}", f"<html><body>{body}</body></html>") for i, body in enumerate(bodies)]
+    return {r.page_id: r.text for r in extract(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+
+
+def test_slots_of_the_wrapper_decide(spark):
+    article = lambda i: f"Story {i} of this site with enough words to be told from the others"
+    menu = "<div><div>Home</div><div>About us</div></div>"
+    got = site(spark, [f"{menu}<div>{article(i)}</div>" + "<p>Buy now</p>" * (i % 2) for i in range(50)])
+    assert got == {i: article(i) for i in range(50)}
+    got = site(spark, [f"<p>Home</p><div class='page with-sidebar'><main class='sidebar'><p>{article(i)}</p><div class=comments>Nice</div></main></div>" for i in range(3)])
+    assert got == {i: article(i) for i in range(3)}
+    assert matched([["p", True, False], ["h1", False, True], ["p", False, True]], ["p", "h1", "p", "h2"]) == ["0", "1", "2", "h2"]
+    assert matched([["p", True, False], ["h1", False, True]], ["p", "h1", "p"]) == ["0", "1", "0"]
