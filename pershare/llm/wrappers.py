@@ -14,7 +14,8 @@ what encloses them, count only against another article.
 
 Rules. Null and empty pages have an empty text; pages whose url is null or has no host are one host. Elements that are not closed end
 where their parent or the next block that cannot be inside them does; tags and comments that do not end are text to the
-end of the page. Character references are decoded, ``br`` and table cells count as white space. Repeated rows count each.
+end of the page. Pages are different if the longer texts of their main parts are, so copies count once. Where over half of an article
+would be template, its pages are copies, and it stays. Character references are decoded, ``br`` and table cells count as white space. Repeated rows count each.
 """
 
 from __future__ import annotations
@@ -40,6 +41,8 @@ TEMPLATE_PAGES = 20
 TEMPLATE_SHARE = 0.9
 #: Wrappers, and streams matched with them, that a task keeps at hand.
 AT_HAND = 1000
+#: Characters of a text that tells different pages apart.
+LONG = 40
 #: Elements in a block's path.
 PATH = 12
 
@@ -264,9 +267,16 @@ def _hash(text: str) -> int:
     return int.from_bytes(blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
 
 
+def _main(found: list[tuple[str, str, int, str]]) -> list[tuple[str, str, int, str]]:
+    """Blocks of articles and main, or else all, that no element's name speaks against."""
+    some = [x for x in found if x[2] < NAMED]
+    return [x for x in some if x[3]] or some
+
+
 def identity(found: list[tuple[str, str, int, str]]) -> int:
-    """A hash of the page's texts."""
-    return _hash("\n".join(text for _, text, *_ in found))
+    """Equal for copies of a page: a hash of the main part's different texts, without short ones (dates, counters) if there are long ones."""
+    texts = {text for _, text, *_ in _main(found)}
+    return _hash("\n".join(sorted({t for t in texts if len(t) >= LONG} or texts)))
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -362,6 +372,9 @@ def infer(pages: DataFrame) -> DataFrame:
 
 def main_text(found: list[tuple[str, str, int, str]], template: list[bool]) -> str:
     """Text of a page's blocks, of which some are template."""
+    inside = [(len(text), fixed) for (_, text, doubt, where), fixed in zip(found, template) if where and doubt < NAMED]
+    if 2 * sum(n for n, fixed in inside if fixed) > sum(n for n, _ in inside):
+        template = [fixed and not where for (*_, where), fixed in zip(found, template)]  # an article of template is one of copies
     left = [(where, doubt, text) for (_, text, doubt, where), fixed in zip(found, template) if doubt < NAMED and not fixed]
     for wanted in (
         lambda where, doubt: where == "article" and doubt == CLEAR,

@@ -390,3 +390,15 @@ def test_slots_of_the_wrapper_decide(spark):
     assert got == {i: article(i) for i in range(3)}
     assert matched([["p", True, False], ["h1", False, True], ["p", False, True]], ["p", "h1", "p", "h2"]) == ["0", "1", "2", "h2"]
     assert matched([["p", True, False], ["h1", False, True]], ["p", "h1", "p"]) == ["0", "1", "0"]
+
+
+def test_copies_are_no_template(spark):
+    story = "<article class=own><h1>Head</h1><p>The only paragraph of the story that many copies have</p></article>"
+    table = "<ul class=cells>" + "<li>same cell</li>" * 25 + "</ul>"
+    dated = [f"<article class=dated><p>Another paragraph of a story that many near copies have</p><p>Seen {i} times</p></article>" for i in range(30)]
+    others = [f"<div><p>Page {i} of the site has a text of its own and of enough length</p></div>" for i in range(30)]
+    got = site(spark, [story] * 30 + [table] + dated + others)
+    assert all(got[i] == "Head\nThe only paragraph of the story that many copies have" for i in range(30))
+    assert got[30] == "\n".join(["same cell"] * 25)
+    assert all(got[31 + i] == f"Another paragraph of a story that many near copies have\nSeen {i} times" for i in range(30))
+    assert all(got[61 + i].startswith(f"Page {i} of") for i in range(30))
