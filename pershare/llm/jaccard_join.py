@@ -14,6 +14,10 @@ connected yet; the last goes to the end, so no link between components is lost.
 must differ in too much: the parities of the shingles at 256 places differ in no more places than the sets do in shingles, and
 similar sets do in at most a ninth of their added sizes. Every other pair is checked on the whole sets.
 
+That gives the components. The links of a set are counted afterwards: similar sets are in one component, so the sets of each
+component are dealt into blocks, and every pair of blocks is a piece of work of fixed size that compares all its pairs of sets.
+``n_links`` is the number of other sets (not documents) that are similar to a document's.
+
 Rules. Rows are documents. A set has the different 5-word shingles of the text with A-Z lower-cased; with fewer words the
 whole text is one shingle; null or empty text and text without words has an empty set and is linked with nothing.
 Sets are told apart by a 64-bit hash and their size, shingles by 64-bit hashes. Ties: the smallest doc_id names
@@ -43,6 +47,9 @@ SCAN_COST = 4
 READINGS = ((1, 4), (5, 32), (33, 256), (257, 1 << 62))
 #: Entries of a list that are compared in one piece; longer lists are cut, and pairs of pieces compared as well.
 BLOCK = 1 << 16
+#: Sets of a component in a block in which links are counted, about; shingles that are counted at once.
+TOGETHER = 256
+COLUMNS = 1 << 13
 #: Words of 64 places each that hold the parities of a set.
 PARITIES = ("p0", "p1", "p2", "p3")
 #: Entries gathered before they are handed on, by bucket.
@@ -325,8 +332,76 @@ def _one_set(text: pa.BinaryScalar) -> np.ndarray:
     return shingle_sets(data, np.array([0, len(data)]))[0]
 
 
-def near_components(docs: DataFrame) -> DataFrame:
-    """A row for each of ``docs`` (doc_id integer, text): doc_id, r1 and r2 (its row key), n_shingles, component_id, n_links, and root, a key of the component (null: empty set)."""
+def similar_pairs(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Which sets of shingles on the left are similar to which on the right."""
+    sizes = [np.array([len(s) for s in side], np.int64) for side in (left, right)]
+    value, place = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    border = int(sizes[0].sum())
+    both = np.zeros(len(value), bool)
+    both[place[:border]] = True
+    shared = np.zeros(len(value), bool)
+    shared[place[border:]] = both[place[border:]]
+    column = np.cumsum(shared) - 1
+    rows = [np.repeat(np.arange(len(n)), n) for n in sizes]
+    kept = [shared[x] for x in (place[:border], place[border:])]
+    rows = [r[k] for r, k in zip(rows, kept)]
+    columns = [column[x[k]] for x, k in zip((place[:border], place[border:]), kept)]
+    order = [np.argsort(c, kind="stable") for c in columns]
+    rows, columns = [r[o] for r, o in zip(rows, order)], [c[o] for c, o in zip(columns, order)]
+    common_ = np.zeros((len(left), len(right)), np.int64)
+    for first in range(0, int(shared.sum()), COLUMNS):
+        parts = []
+        for n, r, c in zip(sizes, rows, columns):
+            a, b = np.searchsorted(c, [first, first + COLUMNS])
+            part = np.zeros((len(n), COLUMNS), np.float32)
+            part[r[a:b], c[a:b] - first] = 1
+            parts.append(part)
+        common_ += (parts[0] @ parts[1].T).astype(np.int64)
+    return 100 * common_ >= 80 * (sizes[0][:, None] + sizes[1][None, :] - common_)
+
+
+def _link_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each set in a pair of blocks its links there; rows come sorted by component and pair of blocks."""
+
+    def counted(own: list[tuple]) -> pa.RecordBatch:
+        i, j = own[0][1:3]
+        first = [(sid, _one_set(text)) for *_, block, sid, text in own if block == i]
+        second = [(sid, _one_set(text)) for *_, block, sid, text in own if block == j] if j != i else first
+        sids, n = [sid for sid, _ in first], np.zeros(len(first), np.int64)
+        if first and second:
+            near = similar_pairs([s for _, s in first], [s for _, s in second])
+            n = near.sum(1) - (j == i)  # each set is similar to itself
+            if j != i:
+                sids, n = sids + [sid for sid, _ in second], np.r_[n, near.sum(0)]
+        return pa.RecordBatch.from_pydict({"sid": pa.array(sids, pa.int64()), "links": pa.array(n[: len(sids)], pa.int64())})
+
+    held: list[tuple] = []
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in ("root", "i", "j", "block", "sid")), batch.column("text")):
+            if held and held[0][:3] != row[:3]:
+                yield counted(held)
+                held = []
+            held.append(row)
+    if held:
+        yield counted(held)
+
+
+def link_counts(sets: DataFrame, labels: DataFrame, size: int) -> DataFrame:
+    """(sid, n_links) for the ``sets`` (sid, text) that have links, whose components are ``labels`` (id, root)."""
+    members = labels.toDF("sid", "root")
+    many = members.groupBy("root").agg(F.count("*").alias("m"))
+    members = stored(members.join(many, "root").where("m > 1"), "members")
+    two = members.where("m = 2").select("sid", F.lit(1).cast("long").alias("n_links"))
+    last = F.ceil(F.col("m") / TOGETHER).cast("int") - 1
+    dealt = members.where("m > 2").withColumn("last", last).withColumn("block", F.pmod(F.xxhash64("sid"), F.col("last") + 1).cast("int"))
+    dealt = dealt.join(sets.select("sid", "text"), "sid").withColumn("other", F.explode(F.sequence(F.lit(0), "last")))
+    dealt = dealt.select("root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "sid", "text")
+    made = arrow_map(dealt.repartition(size, "root", "i", "j").sortWithinPartitions("root", "i", "j"), _link_counts, "sid long, links long")
+    return two.unionByName(made.groupBy("sid").agg(F.sum("links").alias("n_links")))
+
+
+def near_components(docs: DataFrame, links: bool = True) -> DataFrame:
+    """A row for each of ``docs`` (doc_id integer, text): doc_id, r1 and r2 (its row key), n_shingles, component_id, n_links (null if not asked for), and root, a key of the component (null: empty set)."""
     spark, size = docs.sparkSession, partitions(docs.sparkSession)
     r1, r2 = row_keys("doc_id", "text")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), r1.alias("r1"), r2.alias("r2"), "text")
@@ -357,7 +432,7 @@ def near_components(docs: DataFrame) -> DataFrame:
         joined = near.join(texts.toDF("b", "right"), "b").join(texts.toDF("a", "left"), "a")
         return stored(arrow_map(joined.sortWithinPartitions("a"), _similar, "a long, b long"), "links")
 
-    labels, linked = None, None
+    labels = None
     for reading in READINGS:
         if labels is None:
             asked = lists.withColumn("root", F.col("sid"))
@@ -366,22 +441,24 @@ def near_components(docs: DataFrame) -> DataFrame:
             open_ = asked.groupBy("list").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("m")).where((F.col("x") != F.col("y")) & (F.col("m") > reading[0])).select("list")
             asked = asked.join(open_, "list", "left_semi")
         found = verified(arrow_map(ordered(asked), _pairer(*reading), "a long, b long").distinct())
-        linked = found if linked is None else linked.unionByName(found)
         labels = stored(components(found if labels is None else labels.selectExpr("id as a", "root as b").unionByName(found)), "labels")
 
-    degree = linked.select("a").unionByName(linked.selectExpr("b as a")).groupBy("a").agg(F.count("*").alias("n_links")).toDF("sid", "n_links")
+    if links:
+        degree, none = link_counts(whole, labels, size), F.lit(0).cast("long")
+    else:
+        degree, none = spark.createDataFrame([], "sid long, n_links long"), F.lit(None).cast("long")
     classes = known.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("least")).join(labels.toDF("sid", "root"), "sid", "left").join(degree, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     classes = stored(classes, "classes")
     named = classes.join(classes.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("sid", "component_id", "n_links", "root")
-    out = known.where("n > 0").join(named, "sid").select("doc_id", "r1", "r2", F.col("n").alias("n_shingles"), "component_id", F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "root")
-    return out.unionByName(known.where("n = 0").select("doc_id", "r1", "r2", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"), F.lit(None).cast("long").alias("root")))
+    out = known.where("n > 0").join(named, "sid").select("doc_id", "r1", "r2", F.col("n").alias("n_shingles"), "component_id", F.coalesce("n_links", none).alias("n_links"), "root")
+    return out.unionByName(known.where("n = 0").select("doc_id", "r1", "r2", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), none.alias("n_links"), F.lit(None).cast("long").alias("root")))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest doc_id; empty sets all stay."""
     r1, r2, one, copy = (free_name(docs, c) for c in ("r1", "r2", "one", "copy"))
     k1, k2 = row_keys("doc_id", "text")
-    found = near_components(docs)
+    found = near_components(docs, links=False)
     chosen = found.where("n_shingles > 0").groupBy("root").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "r1", "r2")).alias("m"))
     keys = chosen.select("m.r1", "m.r2", F.lit(True).alias("one")).unionByName(found.where("n_shingles = 0").select("r1", "r2", F.lit(False).alias("one")).distinct()).toDF(r1, r2, one)
     kept = docs.withColumns({r1: k1, r2: k2}).join(keys, [r1, r2])

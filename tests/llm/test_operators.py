@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pershare.llm import language, lm_score
+from pershare.llm import jaccard_join, language, lm_score
 from pershare.llm.collision_search import nearest
 from pershare.llm.components import components
 from pershare.llm.cuckoo import Cuckoo
@@ -402,3 +402,24 @@ def test_copies_are_no_template(spark):
     assert got[30] == "\n".join(["same cell"] * 25)
     assert all(got[31 + i] == f"Another paragraph of a story that many near copies have\nSeen {i} times" for i in range(30))
     assert all(got[61 + i].startswith(f"Page {i} of") for i in range(30))
+
+
+def test_all_links_are_counted(spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "TOGETHER", 16)
+    rng = random.Random(8)
+    story = [f"w{i}" for i in range(150)]
+    rows = near_rows()
+    for i in range(90):
+        words = list(story)
+        for _ in range(rng.randrange(5)):
+            words[rng.randrange(len(words))] = f"x{rng.randrange(1000)}"
+        rows.append((2000 + i, " ".join(words)))
+    sets = []
+    for _, t in rows:
+        w = WORD.findall((t or "").encode().lower())
+        sets.append(frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else []))
+    different = set(sets) - {frozenset()}
+    similar = {s: sum(o != s and 100 * len(s & o) >= 80 * len(s | o) for o in different) for s in different}
+    want = sorted((str(d), similar.get(s, 0)) for (d, _), s in zip(rows, sets))
+    got = sorted((str(r.doc_id), r.n_links) for r in near_components(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert got == want and max(similar.values()) > 40
