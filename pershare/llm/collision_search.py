@@ -1,13 +1,13 @@
 """Nearest neighbours by inner product with collision-counting hashing.
 
-Vectors get one more component that brings all to the largest length, queries a zero; then the largest inner product
+Vectors get one more component that brings all of a block to its largest length, queries a zero; then the largest inner product
 is the smallest distance. Each of ``projections`` random directions gives one sorted array of projected vectors. A
 window around the query's own projection is widened by the factor ``growth`` again and again (virtual rehashing: no
 hash table is built anew), and the windows that hold a vector are counted. A vector in at least ``threshold`` of the
 windows is verified on the original vectors, in double precision. A query stops when ``share`` of the block has been
 verified besides 6 k, or the windows hold everything.
 
-Vectors lie in blocks of about ``block`` rows, queries in blocks of ``query_block``; each pair of blocks is a task of fixed
+Vectors lie in blocks of about ``block`` rows whose lengths differ by less than the factor ``CLASS``, queries in blocks of ``query_block``; each pair of blocks is a task of fixed
 size, its best k go on, and the best k of all blocks win. All rows are indexed, nothing is sampled.
 
 Rules. A vector that is null, all zero or holds a null or a component that is not finite takes no part; nor does one whose
@@ -19,13 +19,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Pairs verified at once.
 SLICE = 50_000
 #: Queries counted at once.
 TOGETHER = 256
+#: Lengths of a block's vectors lie between two powers of this next to each other, so that a few long vectors flatten no differences.
+CLASS = 1.05
 #: Half the first window, in units of the projected length of the longest vector.
 START = 1.05
 
@@ -77,13 +79,14 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray
     return tuple(map(np.concatenate, zip(*found))) if found else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
 
 
-def _searcher(longest: float, k: int):
+def _searcher(k: int):
     def search(key, queries: pa.Table, vectors: pa.Table) -> pa.Table:
         empty = {"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())}
         if not len(queries) or not len(vectors):
             return pa.table(empty)
         query_ids, ids = queries.column("id").to_numpy(), vectors.column("id").to_numpy()
-        q, v, score = search_block(_matrix(queries.column("vector")), query_ids, _matrix(vectors.column("vector")), ids, longest, k)
+        x = _matrix(vectors.column("vector"))
+        q, v, score = search_block(_matrix(queries.column("vector")), query_ids, x, ids, float(np.sqrt((x**2).sum(1).max())), k)
         order = np.lexsort((ids[v], -score, q))
         q, v, score = q[order], v[order], score[order]
         first = np.flatnonzero(np.r_[True, q[1:] != q[:-1]]) if len(q) else q
@@ -103,18 +106,29 @@ def nearest(embeddings: DataFrame, queries: DataFrame, k: int = 20, block: int =
         return good.where(fine).groupBy("id").agg(F.min("vector").alias("vector"))
 
     vectors = usable(embeddings)
-    facts = vectors.groupBy(F.size("vector").alias("size")).agg(F.count("*").alias("n"), F.max(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)).alias("longest")).orderBy(F.desc("n"), "size").first()
+    facts = vectors.groupBy(F.size("vector").alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "size").first()
     spark = embeddings.sparkSession
     if facts is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     vectors = vectors.where(F.size("vector") == facts["size"])
     asked = usable(queries).where(F.size("vector") == facts["size"])
-    n_blocks, n_asked = -(-facts["n"] // block), max(1, -(-asked.count() // query_block))
-
-    def dealt(df: DataFrame, own: str, n: int, other: str, m: int) -> DataFrame:
-        return df.withColumn(own, F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
-
-    left, right = dealt(asked, "q", n_asked, "b", n_blocks), dealt(vectors, "b", n_blocks, "q", n_asked)
-    found = left.groupBy("q", "b").cogroup(right.groupBy("q", "b")).applyInArrow(_searcher(float(np.sqrt(facts["longest"])), k), "query_id long, vec_id long, score double")
+    n_asked = max(1, -(-asked.count() // query_block))
+    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
+    # half a step aside, so that lengths of about 1 are one class
+    vectors = vectors.withColumn("class", F.floor(F.log(length) / float(np.log(CLASS)) + 0.5))
+    classes, n_blocks = [], 0
+    for row in vectors.groupBy("class").count().orderBy("class").collect():
+        own = -(-row["count"] // block)
+        classes.append((row["class"], n_blocks, own))
+        n_blocks += own
+
+    def dealt(df: DataFrame, own: str, place: Column, other: str, m: int) -> DataFrame:
+        return df.select("id", "vector", place.cast("int").alias(own)).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
+
+    place = F.xxhash64("id")
+    known = spark.createDataFrame(classes, "class long, first int, blocks int")
+    left = dealt(asked, "q", F.pmod(place, F.lit(n_asked)), "b", n_blocks)
+    right = dealt(vectors.join(known, "class"), "b", F.col("first") + F.pmod(place, F.col("blocks")), "q", n_asked)
+    found = left.groupBy("q", "b").cogroup(right.groupBy("q", "b")).applyInArrow(_searcher(k), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

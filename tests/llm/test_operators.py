@@ -423,3 +423,17 @@ def test_all_links_are_counted(spark, monkeypatch):
     want = sorted((str(d), similar.get(s, 0)) for (d, _), s in zip(rows, sets))
     got = sorted((str(r.doc_id), r.n_links) for r in near_components(spark.createDataFrame(rows, SCHEMA)).collect())
     assert got == want and max(similar.values()) > 40
+
+
+def test_nearest_of_unequal_lengths(spark):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((2000, 32))
+    x /= np.sqrt((x**2).sum(1))[:, None]
+    x[7] *= 5
+    x[11:400:10] *= 1.4
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = collections.defaultdict(set)
+    for r in nearest(df, df.where("vec_id % 20 = 0"), 20).collect():
+        got[r.query_id].add(r.vec_id)
+    hits = sum(len(got[q] & set([i for i in np.argsort(-(x @ x[q])).tolist() if i != q][:20])) for q in range(0, 2000, 20))
+    assert hits >= 0.9 * 20 * 100
