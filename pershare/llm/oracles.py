@@ -22,7 +22,8 @@ def _mixing(docs: str, select: str) -> str:
 with topics as (
     select *, case when contains(coalesce(text, ''), 'licensed under') then 'legal' when contains(coalesce(text, ''), ' | ') then 'table' when contains(coalesce(text, ''), '$$$') then 'noise'
         when contains(coalesce(text, ''), '!! ') then 'shouting' when contains(coalesce(text, ''), chr(10) || '- ') then 'list' else 'prose' end as topic,
-        len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) as n_tokens
+        len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) as n_tokens
     from {docs}
 ), cells as (select source, lang, topic, sum(n_tokens)::bigint as tokens from topics group by all),
 {targets},
@@ -56,5 +57,41 @@ select doc_id, count(*) as n_lines, count(f.key) as n_dropped,
     sha256(coalesce(string_agg(line, chr(10) order by i) filter (where f.key is null), '')) as kept_sha256
 from keyed left join frequent f using (key)
 group by r, doc_id
+""",
+    "op11_importance_resampling": r"""
+with step as (
+    select list_transform(range(256), lambda byte: list_reduce(list_concat([byte], range(8)), lambda c, k: xor(c >> 1, (c & 1) * 3988292384))) as of
+), words as (
+    select 'd' as kind, row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents
+    union all
+    select 'b', row_number() over (), null, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') from benchmark
+), features as (
+    select kind, r, unnest(list_concat(w, list_transform(range(1, greatest(len(w), 1)), lambda i: w[i] || ' ' || w[i + 1]))) as f from words
+), counted as (
+    select kind, r, f, count(*) as n from features group by all
+), hexes as (
+    select f, hex(encode(f)) as h from (select distinct f from counted)
+), bytes as (
+    select f, list_transform(range(1, len(h), 2), lambda i: (strpos('0123456789ABCDEF', h[i]) - 1) * 16 + strpos('0123456789ABCDEF', h[i + 1]) - 1) as b from hexes
+), sums as (
+    select f, xor(list_reduce(list_concat([4294967295], b), lambda c, x: xor(c >> 8, of[(xor(c, x) & 255) + 1])), 4294967295) % 10000 as bucket from bytes, step
+), placed as (
+    select kind, r, bucket, sum(n)::bigint as n from counted join sums using (f) group by all
+), totals as (
+    select bucket, coalesce(sum(n) filter (where kind = 'd'), 0)::bigint as s, coalesce(sum(n) filter (where kind = 'b'), 0)::bigint as t from placed group by bucket
+), whole as (
+    select coalesce(sum(s), 0)::bigint as s_all, coalesce(sum(t), 0)::bigint as t_all from totals
+), gain as (
+    select bucket, floor(1000 * ln((t + 1)::double * (s_all + 10000)::double / ((s + 1)::double * (t_all + 10000)::double)))::bigint as g from totals, whole
+), weights as (
+    select r, sum(n)::bigint as n_features, floor(sum(n * g)::double / sum(n)::double)::bigint as weight from placed join gain using (bucket) where kind = 'd' group by r
+), scored as (
+    select d.r, doc_id, len(w) as n_words, coalesce(n_features, 0) as n_features, coalesce(weight, 0) as weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint + 0.5::double) / 4294967296::double)))::bigint as score
+    from words d left join weights v on d.r = v.r where kind = 'd'
+), ordered as (
+    select r, row_number() over (order by score desc, doc_id nulls last) as place, count(*) over () * 25 // 100 as drawn from scored where n_words >= 20
+)
+select doc_id, n_features, weight, score, case when place <= drawn then place end as rank from scored left join ordered using (r)
 """,
 }

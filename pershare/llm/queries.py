@@ -13,6 +13,7 @@ from .line_dedup import dedup_lines
 from .lm_score import score_documents
 from .mixing import mixed_sample, topic
 from .quality import quality
+from .resampling import resample
 from .suffix_dedup import drop_repeats
 from .wrappers import extract
 
@@ -78,6 +79,12 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
+
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=25, least_words=20)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality": op2_quality,
@@ -89,4 +96,5 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_importance_resampling": op11_importance_resampling,
 }
