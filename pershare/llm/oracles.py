@@ -93,5 +93,35 @@ with step as (
     select r, row_number() over (order by score desc, doc_id nulls last) as place, count(*) over () * 25 // 100 as drawn from scored where n_words >= 20
 )
 select doc_id, n_features, weight, score, case when place <= drawn then place end as rank from scored left join ordered using (r)
+""",
+    "op12_source_divergence": r"""
+with docs as (
+    select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as own from documents
+), found as (
+    select r, lang, source, unnest(own) as term from docs
+), kept as (
+    select lang, term, count(*) as lang_n from found group by lang, term having count(distinct r) >= 30
+), langs as (
+    select lang, count(*)::hugeint as v, sum(lang_n)::hugeint as n_lang from kept group by lang
+), counts as (
+    select lang, source, term, count(*) as n from found join kept using (lang, term) group by all
+), groups as (
+    select lang, source, coalesce(sum(n), 0)::hugeint as n_group from (select distinct lang, source from docs) left join counts using (lang, source) group by all
+), shares as (
+    select g.lang, g.source, k.term, coalesce(c.n, 0) as n, 1 + 1000000000::hugeint * (coalesce(c.n, 0) + 5) // (g.n_group + 5 * v) as p,
+        1 + 1000000000::hugeint * (lang_n + 5) // (n_lang + 5 * v) as q
+    from groups g join kept k on g.lang = k.lang join langs l on g.lang = l.lang left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term
+), sums as (
+    select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value from shares a join shares b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all
+), pairs as (
+    select a.lang, a.source, 'pair' as part, b.source as item, coalesce(s.value, 0)::bigint as value
+    from groups a join groups b on a.lang = b.lang and a.source <> b.source left join sums s on s.lang = a.lang and s.source = a.source and s.item = b.source
+), terms as (
+    select lang, source, 'term' as part, term as item, (p - q)::bigint as value from shares where n > 0 and p > q
+)
+select lang, source, part, item, value, row_number() over (partition by lang, source, part order by value desc, item)::integer as rank from pairs
+union all
+select * from (select lang, source, part, item, value, row_number() over (partition by lang, source, part order by value desc, item)::integer as rank from terms) where rank <= 50
 """,
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from . import language
 from .collision_search import nearest
 from .decontaminate import contaminations
+from .divergence import audit
 from .jaccard_join import near_components
 from .line_dedup import dedup_lines
 from .lm_score import score_documents
@@ -85,6 +86,10 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"), least_docs=30, top=50)
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality": op2_quality,
@@ -97,4 +102,5 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_source_divergence": op12_source_divergence,
 }
