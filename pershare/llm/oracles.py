@@ -40,6 +40,36 @@ kept as (
 """
 
 
+def _components(percent: int, select: str) -> str:
+    """Classes of equal shingle sets, their links, and what each reaches; ``select`` takes from the rows."""
+    return rf"""
+with recursive words as (
+    select row_number() over () as r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents
+), sets as (
+    select r, doc_id, case when len(w) >= 5 then list_sort(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')))) when len(w) > 0 then [array_to_string(w, ' ')] else [] end as s from words
+), rows as (
+    select r, doc_id, len(s) as n, case when len(s) > 0 then md5(array_to_string(s, chr(10))) else 'none ' || r end as c from sets
+), classes as (
+    select c, any_value(n) as n, min(doc_id) as least from rows group by c
+), items as (
+    select distinct md5(array_to_string(s, chr(10))) as c, unnest(s) as item from sets where len(s) > 0
+), met as (
+    select a.c as a, b.c as b, count(*) as shared from items a join items b on a.item = b.item and a.c < b.c group by all
+), links as (
+    select a, b from met join classes x on a = x.c join classes y on b = y.c where 100 * shared >= {percent} * (x.n + y.n - shared)
+), edges as (
+    select a, b from links union all select b, a from links
+), reached as (
+    select c, c as o from classes
+    union
+    select h.c, e.b from reached h join edges e on h.o = e.a
+), named as (
+    select h.c, min(k.least) as component_id from reached h join classes k on h.o = k.c group by h.c
+)
+{select}
+"""
+
+
 ORACLES = {
     "op5_mixing": _mixing("documents", "select doc_id, topic, n_tokens, round(p, 6) as keep_probability from kept"),
     "op9_line_dedup": r"""
@@ -124,4 +154,5 @@ select lang, source, part, item, value, row_number() over (partition by lang, so
 union all
 select * from (select lang, source, part, item, value, row_number() over (partition by lang, source, part order by value desc, item)::integer as rank from terms) where rank <= 50
 """,
+    "op13_minhash_dedup": _components(85, "select doc_id, n as n_shingles, component_id, doc_id is not distinct from component_id as kept from rows join named using (c)"),
 }

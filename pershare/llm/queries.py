@@ -12,6 +12,7 @@ from .divergence import audit
 from .jaccard_join import near_components
 from .line_dedup import dedup_lines
 from .lm_score import score_documents
+from .minhash import near_copies
 from .mixing import mixed_sample, topic
 from .quality import quality
 from .resampling import resample
@@ -90,6 +91,10 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(table(spark, sf_dir, "documents"), least_docs=30, top=50)
 
 
+def op13_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(table(spark, sf_dir, "documents"), percent=85)
+
+
 QUERIES = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_quality": op2_quality,
@@ -103,4 +108,5 @@ QUERIES = {
     "op10_jaccard_join": op10_jaccard_join,
     "op11_importance_resampling": op11_importance_resampling,
     "op12_source_divergence": op12_source_divergence,
+    "op13_minhash_dedup": op13_minhash_dedup,
 }
