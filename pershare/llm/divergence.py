@@ -24,11 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_map, chunks, lower, stored
+from .common import arrow_map, chunks, lower, partitions, stored
 from .ordered import numbered
 
 #: Sources and terms in a piece of the matrix, and the side of a leaf of its tree.
@@ -38,8 +37,10 @@ LEAF = 32
 #: What is added to a count, and the whole of all shares.
 ADDED = 5
 WHOLE = 1_000_000_000
-#: Different (language, source, term) that a task counts before it hands them on.
-HELD = 500_000
+#: Counts from which their product with the whole may not fit in a long.
+LONG = 9_000_000_000
+#: (language, source, term) that a task gathers before it adds up equal ones; if half as many are left, they are handed on.
+HELD = 3_000_000
 #: Bytes of terms; A-Z have been lower-cased.
 _TERM = np.ones(256, bool)
 _TERM[0x00:0x41] = _TERM[0x5B:0x61] = _TERM[0x7B:0x80] = False
@@ -64,45 +65,65 @@ def _spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_string(), len(start), [None, pa.py_buffer(border), pa.py_buffer(data[at])])
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Occurrences and documents of each term for a language and source, and each task's groups (term null)."""
+class Counts:
+    """Occurrences and documents of terms of a task, by numbers of groups and terms."""
 
-    def handed(held: list[pa.Table]) -> pa.Table:
-        whole = pa.concat_tables(held).group_by(["lang", "source", "term"]).aggregate([("n", "sum"), ("docs", "sum")])
-        return whole.rename_columns(["lang", "source", "term", "n", "docs"])
+    def __init__(self):
+        self.groups: dict[tuple, int] = {}
+        self.terms: dict[str, int] = {}
+        self.key, self.n, self.docs = [], [], []
 
-    held = []
-    for part, data, offsets in chunks(batches):
-        data = lower(data)
+    def add(self, part: pa.RecordBatch, data: np.ndarray, offsets: np.ndarray) -> None:
+        """The texts of a chunk; the first number of a term stands for the document itself."""
         start, end, text = term_spans(data, offsets)
-        terms = _spans(data, start, end).dictionary_encode()
-        key = text * np.int64(max(1, len(terms.dictionary))) + terms.indices.to_numpy()
-        key, n = np.unique(key, return_counts=True)
-        text, term = key // max(1, len(terms.dictionary)), key % max(1, len(terms.dictionary))
-        lang, source = (part.column(c).cast(pa.large_string()) for c in ("lang", "source"))
-        ones = np.ones(len(key), np.int64)
-        own = pa.table({"lang": lang.take(pa.array(text)), "source": source.take(pa.array(text)), "term": terms.dictionary.take(pa.array(term)), "n": n.astype(np.int64), "docs": ones})
-        rows = pa.table({"lang": lang, "source": source, "term": pa.nulls(len(lang), pa.large_string()), "n": np.zeros(len(lang), np.int64), "docs": np.ones(len(lang), np.int64)})
-        held += [own, rows]
-        if sum(t.num_rows for t in held) > HELD:
-            held = [handed(held)]
-            if held[0].num_rows > HELD // 2:
-                yield from _out(held.pop())
-    if held:
-        yield from _out(handed(held))
-
-
-def _out(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-    plain = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()), ("n", pa.int64()), ("docs", pa.int64())])
-    for batch in rows.combine_chunks().to_batches(max_chunksize=100_000):
-        yield pa.RecordBatch.from_arrays([pc.cast(c, t) for c, t in zip(batch.columns, plain.types)], schema=plain)
+        found = _spans(data, start, end).dictionary_encode()
+        number = np.array([0, *(self.terms.setdefault(t, len(self.terms) + 1) for t in found.dictionary.to_pylist())], np.int64)
+        group = np.array([self.groups.setdefault(g, len(self.groups)) for g in zip(part.column("lang").to_pylist(), part.column("source").to_pylist())], np.int64)
+        own = np.r_[text * len(number) + found.indices.to_numpy() + 1, np.arange(len(group)) * len(number)]
+        own, n = np.unique(own, return_counts=True)
+        self.key.append(group[own // len(number)] << 40 | number[own % len(number)])
+        self.n.append(n)
+        self.docs.append(np.ones(len(n), np.int64))
+        if sum(map(len, self.key)) > HELD:
+            self.combine()
+
+    def combine(self) -> int:
+        key = np.concatenate(self.key)
+        order = np.argsort(key)
+        key, first = np.unique(key[order], return_index=True)
+        self.key = [key]
+        self.n, self.docs = ([np.add.reduceat(np.concatenate(x)[order], first)] for x in (self.n, self.docs))
+        return len(key)
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """All that has been counted; a row without a term for each group."""
+        terms = pa.array([None, *self.terms], pa.string())
+        lang, source = (pa.array(side, pa.string()) for side in zip(*self.groups))
+        for i in range(0, len(self.key[0]), 100_000):
+            key, n, docs = (x[0][i : i + 100_000] for x in (self.key, self.n, self.docs))
+            group = pa.array(key >> 40)
+            made = {"lang": lang.take(group), "source": source.take(group), "term": terms.take(pa.array(key & (1 << 40) - 1)), "n": n, "docs": docs}
+            yield pa.RecordBatch.from_pydict(made)
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = Counts()
+    for part, data, offsets in chunks(batches):
+        counts.add(part, lower(data), offsets)
+        if len(counts.key) == 1 and len(counts.key[0]) > HELD // 2:
+            yield from counts.rows()
+            counts = Counts()
+    if counts.key:
+        counts.combine()
+        yield from counts.rows()
 
 
 def share(count: Column, n: Column, v: Column) -> Column:
-    """Smoothed share of a count; decimals keep the product exact."""
-    wide = "decimal(38,0)"
-    total = n.cast(wide) + F.lit(ADDED).cast(wide) * v.cast(wide)
-    return F.when(total > 0, F.call_function("div", F.lit(WHOLE).cast("decimal(10,0)") * (count + ADDED).cast("decimal(20,0)"), total.cast("decimal(20,0)")) + 1).cast("long")
+    """Smoothed share of a count; decimals where the product is too large for a long."""
+    total = n + ADDED * v
+    plain = F.call_function("div", F.lit(WHOLE).cast("long") * (count + ADDED), total)
+    wide = F.call_function("div", F.lit(WHOLE).cast("decimal(10,0)") * (count + ADDED).cast("decimal(20,0)"), total.cast("decimal(20,0)"))
+    return F.when(total > 0, F.when(count < LONG, plain).otherwise(wide) + 1)
 
 
 class CountTree:
@@ -172,28 +193,31 @@ def differences(a: CountTree, b: CountTree) -> np.ndarray:
 
 def _compare(key, table):
     """The differences of all pairs of sources of two blocks, in one piece of the terms."""
-    _, block, i, j = (k.as_py() for k in key)
-    row, column, value, at = (table.column(c).to_numpy() for c in ("row", "column", "value", "block_of"))
-    zero, ids, other, other_ids = (table.column(c).drop_null()[0].as_py() for c in ("zeros", "ids", "other_zeros", "other_ids"))
+    _, _, i, j = (k.as_py() for k in key)
+    held = {c: table.column(c).to_numpy() for c in ("block_of", "row", "column", "value", "id")}
     columns = int(table.column("columns")[0].as_py())
 
-    def tree(of: int, zeros: list[int]) -> CountTree:
-        own = (at == of) & (row >= 0)
-        return CountTree(row[own], column[own], value[own], np.array(zeros, np.int64), columns)
+    def side(block: int) -> tuple[np.ndarray, CountTree]:
+        own = {c: x[held["block_of"] == block] for c, x in held.items()}
+        head, cell = own["column"] < 0, own["column"] >= 0
+        order = np.argsort(own["row"][head])
+        tree = CountTree(own["row"][cell], own["column"][cell], own["value"][cell], own["value"][head][order], columns)
+        return own["id"][head][order], tree
 
-    left = tree(i, zero)
-    right = left if i == j else tree(j, other)
+    names, left = side(i)
+    others, right = (names, left) if i == j else side(j)
     found = differences(left, right)
     x, y = np.indices(found.shape)
     keep = np.ones(found.shape, bool) if i != j else x < y
-    names = np.array(ids, np.int64), np.array(other_ids, np.int64)
-    return pa.table({"a": names[0][x[keep]], "b": names[1][y[keep]], "value": found[keep]})
+    return pa.table({"a": names[x[keep]], "b": others[y[keep]], "value": found[keep]})
 
 
 def audit(docs: DataFrame, least_docs: int = 30, top: int = 50, rows: int = ROWS, columns: int = COLUMNS) -> DataFrame:
     """(lang, source, part, item, value, rank) of ``docs`` (text, lang, source): ``pair`` with other sources, ``term`` with the words used most above the language's share."""
     named = docs.select("text", *(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")))
     counted = arrow_map(named, _count, "lang string, source string, term string, n long, docs long")
+    # by language and term: tasks have added up what they can, so rows go straight to where they are summed
+    counted = counted.repartition(partitions(docs.sparkSession), "lang", "term")
     counted = stored(counted.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")), "counts")
     terms = counted.where("term is not null")
 
@@ -227,24 +251,18 @@ def _terms(shares: DataFrame, top: int) -> DataFrame:
 
 def _pairs(groups: DataFrame, shares: DataFrame, columns: int) -> DataFrame:
     """Every two sources of a language, with a row for each of both."""
-    blocks = groups.groupBy("lang", F.col("block").alias("block_of")).agg(F.sort_array(F.collect_list(F.struct("row", "id", "zero"))).alias("own"))
-    blocks = blocks.select("lang", "block_of", F.col("own.id").alias("ids"), F.col("own.zero").alias("zeros"))
     last = groups.groupBy("lang").agg(F.max("block").alias("last"))
     piece = F.floor(F.col("at") / columns)
     width = F.least(F.lit(columns).cast("long"), F.col("v") - piece * columns)
-    at = shares.select("lang", F.col("block").alias("block_of"), "row", piece.alias("piece"), (F.col("at") % columns).cast("long").alias("column"), F.col("p").alias("value"), width.alias("columns"))
-    # a block of sources meets every block of its language, itself included, in each piece of the terms, cells or not
-    pieces = at.groupBy("lang", "piece").agg(F.max("columns").alias("columns")).join(last, "lang")
-    pieces = pieces.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), "last"))).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), "j")))
-    sides = blocks.select("lang", F.col("block_of").alias("i"), "ids", "zeros")
-    others = blocks.select("lang", F.col("block_of").alias("j"), F.col("ids").alias("other_ids"), F.col("zeros").alias("other_zeros"))
-    frames = pieces.join(sides, ["lang", "i"]).join(others, ["lang", "j"])
-    empty = [F.lit(-1).cast("long").alias(c) for c in ("block_of", "row", "column", "value")]
-    heads = frames.select("lang", "piece", "i", "j", "columns", "ids", "zeros", "other_ids", "other_zeros", *empty)
-    none = [F.lit(None).cast("array<bigint>").alias(c) for c in ("ids", "zeros", "other_ids", "other_zeros")]
-    dealt = at.join(last, "lang").withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), "last")))
-    dealt = dealt.select("lang", "piece", F.least("block_of", "with").alias("i"), F.greatest("block_of", "with").alias("j"), "columns", *none, "block_of", "row", "column", "value")
-    found = heads.unionByName(dealt).groupBy("lang", "piece", "i", "j").applyInArrow(_compare, "a long, b long, value long")
+    cells = shares.select("lang", piece.alias("piece"), width.alias("columns"), F.col("block").alias("block_of"), "row", (F.col("at") % columns).alias("column"), F.col("p").alias("value"), F.lit(0).cast("long").alias("id"))
+    # every source is in every piece, with its id and the share of a zero count, whether it has counts there or not
+    pieces = groups.groupBy("lang").agg(F.max("v").alias("v")).where("v > 0")
+    pieces = pieces.withColumn("at", F.explode(F.expr(f"sequence(0L, v - 1, {columns}L)"))).select("lang", piece.alias("piece"), width.alias("columns"))
+    heads = groups.join(pieces, "lang").select("lang", "piece", "columns", F.col("block").alias("block_of"), "row", F.lit(-1).cast("long").alias("column"), F.col("zero").alias("value"), "id")
+    # a block of sources meets every block of its language, itself included
+    dealt = heads.unionByName(cells).join(last, "lang").withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), "last")))
+    dealt = dealt.withColumns({"i": F.least("block_of", "with"), "j": F.greatest("block_of", "with")}).drop("with", "last")
+    found = dealt.groupBy("lang", "piece", "i", "j").applyInArrow(_compare, "a long, b long, value long")
     sums = found.groupBy("a", "b").agg(F.sum("value").alias("value"))
     both = sums.unionByName(sums.select(F.col("b").alias("a"), F.col("a").alias("b"), "value"))
     one, two = groups.select("lang", "source", F.col("id").alias("a")), groups.select("lang", F.col("source").alias("item"), F.col("id").alias("b"))

@@ -7,6 +7,7 @@ import re
 import numpy as np
 import pytest
 
+from pershare.llm import divergence
 from pershare.llm.divergence import CountTree, audit, differences
 from pershare.llm.queries import QUERIES
 
@@ -97,3 +98,11 @@ def test_random_documents(spark):
     words = ["Alpha", "beta", "ÄGAMMA", "delta9eps", "zeta-eta"] + [f"w{chr(97 + i)}" for i in range(20)]
     rows = [(i, " ".join(rng.choices(words, k=rng.randrange(30))), rng.choice(["en", "fr", None]), f"s{rng.randrange(9)}") for i in range(300)]
     assert got(audit(spark.createDataFrame(rows, SCHEMA), 12, 4, rows=4, columns=7)) == brute(rows, 12, 4)
+
+
+def test_counts_handed_on_early_and_large_counts(spark, monkeypatch):
+    monkeypatch.setattr(divergence, "HELD", 50)
+    rows = given(spark) + odd_rows()
+    assert got(audit(spark.createDataFrame(rows, SCHEMA), 8, 5)) == brute(rows, 8, 5)
+    monkeypatch.setattr(divergence, "LONG", 2)
+    assert got(audit(spark.createDataFrame(rows, SCHEMA), 8, 5)) == brute(rows, 8, 5)
