@@ -23,6 +23,7 @@ no rows; other columns than ``doc_id`` and ``text`` are left out.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +40,7 @@ BAND_ROWS = 5
 #: Draws of a donor that are looked up at once.
 DRAWS = 64
 #: Sets in a block of an open bucket.
-BLOCK = 4096
+BLOCK = 1024
 #: Words of 64 places each that hold the parities of a set.
 PARITIES = ("p0", "p1", "p2", "p3")
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -196,35 +197,22 @@ def may_link(percent: int, one: str, other: str) -> Column:
     return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & ((100 + percent) * differ <= (100 - percent) * (n + m))
 
 
-def _open_pairs(percent: int):
-    def compare(key, table):
-        """Pairs of two blocks of a bucket that are not connected and may link."""
-        block = table.column("block").to_numpy()
-        x, y = np.flatnonzero(block == key[1].as_py()), np.flatnonzero(block == key[2].as_py())
-        held = {c: table.column(c).to_numpy() for c in ("sid", "n", "root", *PARITIES)}
-        found = []
-        for i in x:
-            n, m = held["n"][i], held["n"][y]
-            ok = (held["root"][y] != held["root"][i]) & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
-            j = y[ok]
-            differ = sum(np.bitwise_count((held[p][j] ^ held[p][i]).view(np.uint64)).astype(np.int64) for p in PARITIES)
-            j = j[(100 + percent) * differ <= (100 - percent) * (n + held["n"][j])]
-            found.append(np.stack([np.minimum(held["sid"][j], held["sid"][i]), np.maximum(held["sid"][j], held["sid"][i])], 1))
-        pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
-        return pa.table({"a": pairs[:, 0].copy(), "b": pairs[:, 1].copy()})
-
-    return compare
-
-
 def open_pairs(entries: DataFrame, percent: int) -> DataFrame:
-    """All pairs of the ``entries`` (bucket, sid, root, n, parities) of a bucket that are not connected and may link."""
+    """All pairs of the ``entries`` (bucket, sid, root, n, parities) of a bucket that are not connected and may link, each from the least bucket both are in."""
     order = Window.partitionBy("bucket").orderBy("n", "sid")
     cut = stored(entries.withColumn("block", F.floor((F.row_number().over(order) - 1) / BLOCK)), "blocks")
     blocks = cut.groupBy("bucket", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
     second = blocks.select("bucket", F.col("block").alias("j"), F.col("low").alias("next"))
-    pairs = blocks.withColumnRenamed("block", "i").join(second, "bucket").where((F.col("i") <= F.col("j")) & (percent * F.col("next") <= 100 * F.col("high")))
-    sides = pairs.select("bucket", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
-    return cut.join(sides, ["bucket", "block"]).groupBy("bucket", "i", "j").applyInArrow(_open_pairs(percent), "a long, b long").distinct()
+    pairs = blocks.withColumnRenamed("block", "i").join(second, "bucket").where((F.col("i") <= F.col("j")) & (percent * F.col("next") <= 100 * F.col("high"))).select("bucket", "i", "j")
+    # at most one bucket for each band
+    cut = cut.join(cut.groupBy("sid").agg(F.collect_set("bucket").alias("own")), "sid")
+    left = cut.withColumnRenamed("block", "i").join(pairs, ["bucket", "i"]).alias("s")
+    right = cut.withColumnRenamed("block", "j").join(pairs, ["bucket", "j"]).alias("o")
+    met = reduce(lambda x, y: x & y, (F.col(f"s.{c}") == F.col(f"o.{c}") for c in ("bucket", "i", "j")))
+    one_way = (F.col("s.i") < F.col("s.j")) | (F.col("s.sid") < F.col("o.sid"))
+    first = F.array_min(F.array_intersect("s.own", "o.own")) == F.col("s.bucket")
+    found = left.join(right, met & (F.col("s.root") != F.col("o.root")) & one_way & may_link(percent, "s", "o") & first)
+    return found.select(F.least("s.sid", "o.sid").alias("a"), F.greatest("s.sid", "o.sid").alias("b"))
 
 
 def near_copies(docs: DataFrame, percent: int = 85) -> DataFrame:
