@@ -44,7 +44,7 @@ PIECES = 64
 #: What scanning an entry of an inverted list costs, in rows of subsets.
 SCAN_COST = 4
 #: Distances between the places of two sets in a list that each reading of the lists compares; the last has no end.
-READINGS = ((1, 4), (5, 32), (33, 256), (257, 1 << 62))
+READINGS = ((1, 4), (5, 64), (65, 1 << 62))
 #: Entries of a list that are compared in one piece; longer lists are cut, and pairs of pieces compared as well.
 BLOCK = 1 << 16
 #: Sets of a component in a block in which links are counted, about; shingles that are counted at once.
@@ -97,16 +97,16 @@ def _sum_cells(key, table):
     total = np.zeros((1 << CELL_BITS) // PIECES, np.int64)
     for part in table.column("cells").to_pylist():
         total += np.frombuffer(zstandard.ZstdDecompressor().decompress(part), np.uint32)
-    return pa.table({"piece": pa.array([key[0].as_py()], pa.int32()), "cells": pa.array([total.tobytes()], pa.binary())})
+    steps = np.clip(8 + 8 * np.log2(np.maximum(total, 0.5)), 0, 255).astype(np.uint8)
+    return pa.table({"piece": pa.array([key[0].as_py()], pa.int32()), "steps": pa.array([steps.tobytes()], pa.binary())})
 
 
 def rarity(pieces: DataFrame) -> np.ndarray:
-    """Eight steps for each doubling of a cell's count, from a quarter of the mean up; the array has a fixed size."""
-    cells = np.zeros((PIECES, (1 << CELL_BITS) // PIECES), np.int64)
-    for row in pieces.groupBy("piece").applyInArrow(_sum_cells, "piece int, cells binary").collect():
-        cells[row["piece"]] = np.frombuffer(row["cells"], np.int64)
-    cells = cells.ravel()
-    return np.clip(16 + 8 * np.log2(np.maximum(cells, 0.1) / max(1, cells.mean())), 0, 255).astype(np.uint8)
+    """Eight steps for each doubling of a cell's count; the array has a fixed size, one byte a cell."""
+    steps = np.zeros((PIECES, (1 << CELL_BITS) // PIECES), np.uint8)
+    for row in pieces.groupBy("piece").applyInArrow(_sum_cells, "piece int, steps binary").collect():
+        steps[row["piece"]] = np.frombuffer(row["steps"], np.uint8)
+    return steps.ravel()
 
 
 def boundary(sizes: dict[int, int]) -> int:
@@ -189,36 +189,33 @@ def _list_rows(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     same = (x["token"][1:] == x["token"][:-1]) & (x["sid"][1:] == x["sid"][:-1]) & (x["n"][1:] == x["n"][:-1])
     x = x[np.r_[~same, True]]  # of a set's equal tokens the one with most behind it
     border = np.flatnonzero(np.r_[True, x["token"][1:] != x["token"][:-1]])
-    ends, seen, out = np.r_[border[1:], len(x)], set(), []
-    for a, b in zip(border, ends):
-        if b - a < 2:
-            continue
-        own = x[a:b]
-        name = np.add.reduce(mixed(own["sid"].view(np.uint64) if own["sid"].flags.c_contiguous else own["sid"].astype(np.int64).view(np.uint64)) * (own["rest"].astype(np.uint64) + np.uint64(1)))
-        if name in seen:
-            continue
-        seen.add(name)
+    sizes = np.diff(np.r_[border, len(x)])
+    names = np.add.reduceat(mixed(x["sid"].astype(np.int64).view(np.uint64)) * (x["rest"].astype(np.uint64) + np.uint64(1)), border)
+    several = np.flatnonzero(sizes > 1)
+    several = several[np.unique(names[several], return_index=True)[1]]
+    short = several[sizes[several] <= BLOCK]
+    # lists that are not cut, so many together that they are about a block
+    for together in np.split(short, np.flatnonzero(np.diff(np.cumsum(sizes[short]) // BLOCK)) + 1) if len(short) else ():
+        length = sizes[together]
+        at = np.arange(length.sum()) + np.repeat(border[together] - np.r_[0, np.cumsum(length)[:-1]], length)
+        yield _entry_rows(np.repeat(names[together], length), x[at], np.zeros(len(at), np.int8))
+    for one in several[sizes[several] > BLOCK]:
+        name, own = names[one], x[border[one] : border[one] + sizes[one]]
         for i in range(0, len(own), BLOCK):
             left = own[i : i + BLOCK]
-            out.append((mixed(np.array([name + np.uint64(i)]))[0], left, np.zeros(len(left), np.int8)))
+            yield _entry_rows(np.repeat(mixed(np.array([name + np.uint64(i)])), len(left)), left, np.zeros(len(left), np.int8))
             reach = (9 * left["rest"].astype(np.int64) // 4 - left["n"]).max()
             for j in range(i + BLOCK, len(own), BLOCK):
                 right = own[j : j + BLOCK]
                 if right["n"][0] > reach:
                     break
                 both = np.concatenate([left, right])
-                out.append((mixed(np.array([name + np.uint64(i) + np.uint64(j << 1)]))[0], both, np.r_[np.ones(len(left), np.int8), np.full(len(right), 2, np.int8)]))
-        if sum(len(e) for _, e, _ in out[-64:]) > BLOCK:
-            yield _entry_rows(out)
-            out = []
-    if out:
-        yield _entry_rows(out)
-
-
-def _entry_rows(out: list) -> pa.RecordBatch:
-    e = np.concatenate([entries for _, entries, _ in out])
-    names = np.repeat(np.array([name for name, _, _ in out], np.uint64), [len(entries) for _, entries, _ in out])
-    return pa.RecordBatch.from_pydict({"list": signed(names), "side": np.concatenate([s for *_, s in out]), "sid": e["sid"].astype(np.int64), "n": e["n"].astype(np.int64), "rest": e["rest"].astype(np.int64)})
+                of = mixed(np.array([name + np.uint64(i) + np.uint64(j << 1)]))
+                yield _entry_rows(np.repeat(of, len(both)), both, np.r_[np.ones(len(left), np.int8), np.full(len(right), 2, np.int8)])
+
+
+def _entry_rows(names: np.ndarray, e: np.ndarray, side: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"list": signed(names), "side": side, "sid": e["sid"].astype(np.int64), "n": e["n"].astype(np.int64), "rest": e["rest"].astype(np.int64)})
 
 
 def _pairer(first: int, last: int):

@@ -154,5 +154,6 @@ select lang, source, part, item, value, row_number() over (partition by lang, so
 union all
 select * from (select lang, source, part, item, value, row_number() over (partition by lang, source, part order by value desc, item)::integer as rank from terms) where rank <= 50
 """,
+    "op10_jaccard_join": _components(80, "select doc_id, n as n_shingles, component_id from rows join named using (c)"),
     "op13_minhash_dedup": _components(85, "select doc_id, n as n_shingles, component_id, doc_id is not distinct from component_id as kept from rows join named using (c)"),
 }

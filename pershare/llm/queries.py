@@ -77,8 +77,8 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_components(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_shingles", "component_id", "n_links")
+    found = near_components(table(spark, sf_dir, "documents"), links=False)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 
