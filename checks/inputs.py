@@ -89,6 +89,32 @@ def statement_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def number_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statements with a first column of bare numbers: by customer whole ones, with gaps, with decimals, with words, or truth values."""
+    in_table = Window.partitionBy("filename", "table_seq").orderBy("k")
+    k, t = F.col("k"), F.col("custkey") % 5
+    whole = (k % 4000).cast("string")
+    cents = F.concat(F.floor(k % 500 / 100).cast("string"), F.lit("."), F.lpad((k % 100).cast("string"), 2, "0"))
+    first = (
+        F.when(t == 0, whole)
+        .when(t == 1, F.when(k % 3 == 0, "").otherwise(whole))
+        .when(t == 2, F.when(k % 2 == 0, cents).otherwise(whole))
+        .when(t == 3, F.when(k % 5 == 0, "see note").otherwise(cents))
+        .otherwise(F.when(k % 2 == 0, "true").otherwise("FALSE"))
+    )
+    return (
+        statement_lines(spark, sf_dir)
+        .select(
+            F.concat(F.lit("cust-"), F.col("custkey").cast("string")).alias("filename"),
+            F.floor(k / TABLE_SPAN).cast("int").alias("table_seq"),
+            "k",
+            F.array(F.col("cells")[0], first, F.col("cells")[2]).alias("cells"),
+        )
+        .withColumn("row_idx", F.row_number().over(in_table))
+        .select("filename", "table_seq", "row_idx", "cells")
+    )
+
+
 def long_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All lines as a single table."""
     return statement_lines(spark, sf_dir).select(
@@ -115,7 +141,7 @@ def padded_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def documents(spark: SparkSession, sf_dir: str, grid=statement_grid) -> DataFrame:
     """Every statement table as an HTML filing, with open cells, inline tags and references."""
     label, first, second = (F.col("cells")[i] for i in range(3))
     row = F.concat(
@@ -129,7 +155,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     rows = F.sort_array(F.collect_list(F.struct("row_idx", row.alias("row"))))
     return (
-        statement_grid(spark, sf_dir)
+        grid(spark, sf_dir)
         .groupBy("filename", "table_seq")
         .agg(F.array_join(F.transform(rows, lambda r: r.row), "").alias("rows"))
         .select(

@@ -125,8 +125,50 @@ CONTEXT = f"with {GRID}, {FACTS}"
 ALL = f"{CONTEXT}, {VALUES}, {CANDIDATES}, {SCORES}"
 KEYS = "filename, table_seq, row_idx"
 
+# Both number columns typed as a whole; the second holds years, gaps and amounts with signs.
+NUMBERS = f"""{LINES},
+raw as (
+  select 'cust-' || custkey as filename, k // {TABLE_SPAN} as table_seq,
+         row_number() over (partition by custkey, k // {TABLE_SPAN} order by k) as row_idx, label,
+         case custkey % 5
+           when 0 then cast(k % 4000 as varchar)
+           when 1 then case when k % 3 = 0 then '' else cast(k % 4000 as varchar) end
+           when 2 then case when k % 2 = 0 then (k % 500) // 100 || '.' || lpad(cast(k % 100 as varchar), 2, '0')
+                            else cast(k % 4000 as varchar) end
+           when 3 then case when k % 5 = 0 then 'see note'
+                            else (k % 500) // 100 || '.' || lpad(cast(k % 100 as varchar), 2, '0') end
+           else case when k % 2 = 0 then 'true' else 'FALSE' end end as c, c2 as d
+  from cells
+),
+flags as (
+  select filename, table_seq, max(row_idx) as last_row,
+    bool_or(c <> '' and not regexp_full_match(c, '[0-9]+([.][0-9]+)?|true|FALSE')) as words,
+    bool_or(c in ('true', 'FALSE')) as truths, bool_or(contains(c, '.')) as points,
+    bool_or(regexp_full_match(c, '[0-9]+')) as wholes, bool_or(c = '') as gaps,
+    bool_or(d <> '' and not regexp_full_match(d, '[0-9]+')) as words2,
+    bool_or(regexp_full_match(d, '[0-9]+')) as wholes2, bool_or(d = '') as gaps2
+  from raw group by all
+),
+types as (
+  select *, case when words then 'text' when truths then 'truth'
+                 when points or (wholes and gaps) then 'decimal' when wholes then 'whole' else 'empty' end as type,
+    case when words2 then 'text' when wholes2 and gaps2 then 'decimal' when wholes2 then 'whole' else 'empty' end as type2
+  from flags
+),
+grid as (
+  select filename, table_seq, row_idx, label,
+    case when type2 = 'decimal' and d <> '' then cast(cast(d as double) as varchar) else d end as c2,
+    case when c = '' or type = 'text' then c when type = 'truth' then upper(c[1]) || lower(c[2:])
+         when type = 'decimal' then cast(cast(c as double) as varchar)
+         else cast(cast(c as bigint) as varchar) end as c1
+  from raw join types using (filename, table_seq)
+)"""
+NUMBERS_ALL = f"with {NUMBERS}, {FACTS}, {VALUES}, {CANDIDATES}, {SCORES}"
+
+
 # Each statement table is a document of its own; one of a single row has no table.
-DOCUMENTS = f"""{ALL},
+def _documents(base: str) -> str:
+    return f"""{base},
 sizes as (select filename, table_seq, count(*) as n_rows from grid group by all),
 named as (select filename || '-' || table_seq || '.html' as doc, * from sizes),
 best as (
@@ -134,13 +176,18 @@ best as (
            order by score desc, row_idx) as place
   from scores
 )"""
-DOCUMENT_EPS = f"""{DOCUMENTS}
+def _document_eps(base: str) -> str:
+    return f"""{_documents(base)}
 select doc as filename, coalesce(value, 0.0) + 0.0 as EPS
 from named left join (select * from best where place = 1) using (filename, table_seq)
 where n_rows > 1
 union all
 select doc, 0.0 from named where n_rows = 1"""
 
+
+DOCUMENTS = _documents(ALL)
+DOCUMENT_EPS = _document_eps(ALL)
+
 PADDED = f"""with {GRID},
 padded as (
   select {KEYS}, case when row_idx % 4 = 0 then [null, ' ', ' ', ' ', ' ']
@@ -247,6 +294,15 @@ ORACLES = {
                  from cleaned group by all)
         select {KEYS}, array_to_string(list_filter(cells, lambda c, i: used[i]), '|') as cells
         from cleaned join used using (filename, table_seq)""",
+    "column_types": f"""with {NUMBERS}
+        select filename, table_seq, cast(0 as bigint) as col_idx, 'text' as type, last_row from types
+        union all
+        select filename, table_seq, 1, type, last_row from types
+        union all
+        select filename, table_seq, 2, type2, last_row from types""",
+    "retyped_columns": f"with {NUMBERS} select {KEYS}, concat_ws('|', label, c1, c2) as cells from grid",
+    "eps_typed_columns": f"{NUMBERS_ALL} select filename, EPS from eps",
+    "eps_typed_html": _document_eps(NUMBERS_ALL),
     "row_labels": f"""{PADDED} select {KEYS},
         list_filter(cells, lambda c: c <> '')[1] as label from cleaned""",
     "header_rows": f"{CONTEXT} select {KEYS}, is_header from facts",

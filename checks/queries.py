@@ -106,6 +106,26 @@ def drop_empty_columns(spark, sf_dir):
     return shown(grid.drop_empty_columns(cleaned), *GRID_ROW, "cells")
 
 
+def column_types(spark, sf_dir):
+    found = grid.column_types(inputs.number_grid(spark, sf_dir))
+    return shown(found, "filename", "table_seq", "col_idx", "type", "last_row")
+
+
+def retyped_columns(spark, sf_dir):
+    return shown(grid.retype_columns(inputs.number_grid(spark, sf_dir)), *GRID_ROW, "cells")
+
+
+def eps_typed_columns(spark, sf_dir):
+    """The values of statements whose first column is typed as a whole, blocks handing on what they know."""
+    rows = inputs.number_grid(spark, sf_dir)
+    return shown(eps_from_grid(rows, TIMEFRAME, block_rows=1024, typed_columns=True), "filename", "EPS")
+
+
+def eps_typed_html(spark, sf_dir):
+    pages = inputs.documents(spark, sf_dir, inputs.number_grid)
+    return shown(extract_eps(pages, TIMEFRAME, typed_columns=True), "filename", "EPS")
+
+
 def row_labels(spark, sf_dir):
     padded = grid.clean_cells(inputs.padded_grid(spark, sf_dir))
     return shown(grid.row_labels(padded), *GRID_ROW, "label")
@@ -301,7 +321,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         eps_final, eps_from_html, eps_with_text, grid_from_html, table_elements,
-        page_text_elements, clean_cells, drop_empty_rows, drop_empty_columns, row_labels,
+        page_text_elements, clean_cells, drop_empty_rows, drop_empty_columns, column_types,
+        retyped_columns, eps_typed_columns, eps_typed_html, row_labels,
         header_rows, year_order, header_groups, row_context, long_table_context, eps_rows,
         row_values, signed_values, eps_types, candidates, scores, top_candidate,
         top_candidate_rows, default_zero, fallback, sentences, sentence_variants, dollar_numbers,

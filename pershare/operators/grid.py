@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pershare.functions import cells as cell
+from pershare.functions import columns
 from pershare.functions.labels import join_context
 
 KEYS = ["filename", "table_seq"]
@@ -56,6 +57,38 @@ def drop_empty_columns(grid: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFra
     return pruned.select(*grid.columns)
 
 
+def column_types(grid: DataFrame) -> DataFrame:
+    """``type`` of every column (``col_idx``) of a table, from all its cells, with the last row that has the column.
+
+    A row gives a bit for each of its columns, which are joined before the shuffle.
+    """
+    return (
+        grid.select(*KEYS, "row_idx", F.posexplode("cells").alias("col_idx", "cell"))
+        .groupBy(*KEYS, "col_idx")
+        .agg(F.bit_or(columns.cell_kind(F.col("cell"))).alias("kinds"), F.max("row_idx").alias("last_row"))
+        .select(*KEYS, "col_idx", columns.column_type(F.col("kinds")).alias("type"), "last_row")
+    )
+
+
+def retype_columns(grid: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Cells as a reader gives them that types whole columns; a row without cells has none.
+
+    The types of a table are as many as it has columns; they are copied once per block of rows before they are joined back,
+    so a long table is no hot key.
+    """
+    types = (
+        column_types(grid)
+        .groupBy(*KEYS)
+        .agg(F.sort_array(F.collect_list(F.struct("col_idx", "type"))).alias("types"), F.max("last_row").alias("last_row"))
+        .withColumn("block", F.explode(F.sequence(F.lit(0), _block("last_row", block_rows))))
+        .select(*KEYS, "block", F.col("types.type").alias("types"))
+    )
+    typed = grid.withColumn("block", _block("row_idx", block_rows)).join(types, [*KEYS, "block"], "left")
+    types = F.coalesce("types", F.array().cast("array<string>"))
+    short = F.slice(types, F.lit(1), F.size("cells"))
+    return typed.withColumn("cells", F.zip_with("cells", short, columns.retyped)).select(*grid.columns)
+
+
 def row_labels(grid: DataFrame) -> DataFrame:
     return grid.withColumn("label", cell.row_label(F.col("cells")))
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pershare.functions import cells as cell
-from pershare.functions import labels
+from pershare.functions import columns, labels
 from pershare.functions.patterns import EPS_FRAGMENT
 from pershare.operators.elements import ROW_THRESHOLD
 
@@ -21,13 +21,14 @@ def with_candidates(
     timeframe: int,
     force_loss_negative: bool = False,
     typed_cells: bool = True,
+    typed_columns: bool = False,
 ) -> DataFrame:
     """Replace ``parsed`` (elements of a filing) by ``candidates``, in document order.
 
-    ``value`` is null where the number could not be read.
+    ``value`` is null where the number could not be read. ``typed_columns`` types whole columns of a table, not only cells.
     """
     return (
-        parsed.withColumn("tables", _tables(F.col("parsed"), timeframe, typed_cells))
+        parsed.withColumn("tables", _tables(F.col("parsed"), timeframe, typed_cells, typed_columns))
         .drop("parsed")
         .withColumn("tables", F.filter("tables", _may_match))
         .withColumn("tables", F.transform("tables", _cut_into_sections))
@@ -53,7 +54,7 @@ def count_unreadable(candidates: Column) -> Column:
     return F.size(F.filter(candidates, lambda c: c.value.isNull()))
 
 
-def _tables(elements: Column, timeframe: int, typed_cells: bool) -> Column:
+def _tables(elements: Column, timeframe: int, typed_cells: bool, typed_columns: bool) -> Column:
     """Table elements, with the facts of each row that is not empty."""
 
     def facts(element: Column) -> Column:
@@ -63,6 +64,9 @@ def _tables(elements: Column, timeframe: int, typed_cells: bool) -> Column:
                 i.alias("row_idx"), (cell.typed_cells(cells) if typed_cells else cells).alias("cells")
             ),
         )
+        if typed_columns:
+            with_cells = lambda r, cells: F.struct(r.row_idx.alias("row_idx"), cells.alias("cells"))
+            rows = columns.typed_columns(rows, lambda r: r.cells, with_cells)
         described = F.transform(
             rows,
             lambda r: F.struct(

@@ -20,6 +20,7 @@ def extract_eps(
     make_encoder: Callable[[], text.Encoder] | None = None,
     force_loss_negative: bool = False,
     audit: bool = False,
+    typed_columns: bool = False,
 ) -> DataFrame:
     """``filename`` and ``EPS`` for every readable filing; 0 where none is found.
 
@@ -27,17 +28,21 @@ def extract_eps(
     filings without a table candidate fall back on their text; only sentences that name the phrase
     and hold a dollar sign are encoded, and one aggregate per filing follows. ``audit`` adds
     ``n_unreadable``, the number of matching rows whose number could not be read, for tables only.
+    ``typed_columns`` reads tables with a type for each column, so that whole numbers among decimals or gaps are values.
     """
     if make_encoder is None:
-        found = filing_candidates(filings, timeframe, force_loss_negative)
+        found = filing_candidates(filings, timeframe, force_loss_negative, typed_columns)
         eps = F.coalesce(sections.best_value(F.col("candidates")), F.lit(0.0)).alias("EPS")
         extra = [sections.count_unreadable(F.col("candidates")).alias("n_unreadable")]
         return found.select("filename", eps, *(extra if audit else []))
-    return _with_text_fallback(filings, timeframe, make_encoder, force_loss_negative)
+    return _with_text_fallback(filings, timeframe, make_encoder, force_loss_negative, typed_columns)
 
 
 def filing_candidates(
-    filings: DataFrame, timeframe: int = DEFAULT_TIMEFRAME, force_loss_negative: bool = False
+    filings: DataFrame,
+    timeframe: int = DEFAULT_TIMEFRAME,
+    force_loss_negative: bool = False,
+    typed_columns: bool = False,
 ) -> DataFrame:
     """``filename`` and ``candidates``, the array of table candidates in document order."""
     html = F.col("html")
@@ -45,7 +50,9 @@ def filing_candidates(
         "filename",
         elements_of(F.when(html.rlike("(?i)<table"), html), tables_with=EPS_FRAGMENT).alias("parsed"),
     )
-    return sections.with_candidates(parsed, timeframe, force_loss_negative)
+    return sections.with_candidates(
+        parsed, timeframe, force_loss_negative, typed_columns=typed_columns
+    )
 
 
 def eps_from_grid(
@@ -53,6 +60,7 @@ def eps_from_grid(
     timeframe: int = DEFAULT_TIMEFRAME,
     block_rows: int | None = grid.BLOCK_ROWS,
     force_loss_negative: bool = False,
+    typed_columns: bool = False,
 ) -> DataFrame:
     """``filename`` and ``EPS`` for every filing with rows in a grid held in long form.
 
@@ -63,8 +71,11 @@ def eps_from_grid(
     value = labels.signed(
         context, cell.parse_value(cell.value_token(F.col("cells"), reverse)), force_loss_negative
     )
+    cleaned = grid.clean_cells(grid_rows)
+    if typed_columns:
+        cleaned = grid.retype_columns(cleaned, block_rows or grid.BLOCK_ROWS)
     return (
-        grid_rows.transform(grid.clean_cells)
+        cleaned
         .transform(grid.row_context, timeframe, block_rows, keep_all=True)
         .withColumn("value", F.when(labels.mentions_eps(context), value))
         .withColumn("score", _score(context, F.col("value")))
@@ -74,7 +85,9 @@ def eps_from_grid(
     )
 
 
-def _with_text_fallback(filings, timeframe, make_encoder, force_loss_negative) -> DataFrame:
+def _with_text_fallback(
+    filings, timeframe, make_encoder, force_loss_negative, typed_columns
+) -> DataFrame:
     """One pass over the filings: a row for each filing, with its table value, and one more for
     each sentence to encode. A single aggregate brings them together again, so neither the HTML
     nor its parse is needed twice."""
@@ -84,7 +97,9 @@ def _with_text_fallback(filings, timeframe, make_encoder, force_loss_negative) -
     )
     rows = (
         parsed.withColumn("sentences", _sentences_to_encode(F.col("parsed")))
-        .transform(sections.with_candidates, timeframe, force_loss_negative)
+        .transform(
+            sections.with_candidates, timeframe, force_loss_negative, typed_columns=typed_columns
+        )
         .withColumn("table_value", sections.best_value(F.col("candidates")))
         .select("filename", "table_value", F.explode(_filing_and_sentences()).alias("s"))
         .select("filename", "table_value", "s.*")
