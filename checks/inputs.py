@@ -169,6 +169,16 @@ def documents(spark: SparkSession, sf_dir: str, grid=statement_grid) -> DataFram
     )
 
 
+def layout_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same filings laid out by tables: the statement in a cell, below a table that lacks its closing tag."""
+    pages = documents(spark, sf_dir)
+    opening = "<table><tr><td>Contents<td>1.00</td></tr><tr><td>EPS</td></tr><p>Our year</p>"
+    layout = "<TABLE><tr><td>Menu</td><td>Results<table>"
+    framed = F.regexp_replace("html", "<table>", opening + layout)
+    closing = "</table>as filed</td></tr><tr><td>Foot<td>Page 2</table>"
+    return pages.withColumn("html", F.regexp_replace(framed, "</table><!--.*?-->", closing))
+
+
 def price_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``k`` and ``words``: the tokens of a sentence about prices, one per order."""
     k = F.col("o_orderkey")

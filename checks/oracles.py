@@ -263,6 +263,15 @@ ORACLES = {
     "grid_from_html": f"""{DOCUMENTS}
         select doc as filename, row_idx - 1 as row_idx, concat_ws('|', label, c1, c2) as cells
         from grid join named using (filename, table_seq) where n_rows > 1""",
+    "nested_grid": f"""{DOCUMENTS}
+        select doc as filename, cast(2 as bigint) as table_seq, row_idx - 1 as row_idx,
+          concat_ws('|', label, c1, c2) as cells
+        from grid join named using (filename, table_seq) where n_rows > 1
+        union all
+        select doc, table_seq_, row_idx, cells from named, (values
+          (0, 0, 'Contents|1.00'), (0, 1, 'EPS|'), (1, 0, 'Menu|Results' || 'as filed'),
+          (1, 1, 'Foot|Page 2')) as frame(table_seq_, row_idx, cells)""",
+    "eps_from_layout": DOCUMENT_EPS,
     "table_elements": f"""{DOCUMENTS}
         select doc as filename, cast(1 as bigint) as elem_seq, n_rows from named where n_rows > 1""",
     "page_text_elements": r"""with

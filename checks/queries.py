@@ -81,6 +81,17 @@ def table_elements(spark, sf_dir):
     return shown(elements.of_kind(parsed, "table"), "filename", "elem_seq", "n_rows")
 
 
+def nested_grid(spark, sf_dir):
+    """Rows of all tables of filings laid out by tables; the statement is the third."""
+    parsed = elements.elements(inputs.layout_documents(spark, sf_dir), with_text=False, nested=True)
+    return shown(elements.grid_rows(parsed), "filename", "table_seq", "row_idx", "cells")
+
+
+def eps_from_layout(spark, sf_dir):
+    pages = inputs.layout_documents(spark, sf_dir)
+    return shown(extract_eps(pages, TIMEFRAME, nested_tables=True), "filename", "EPS")
+
+
 def page_text_elements(spark, sf_dir):
     pages = filings.packed_filings(
         inputs.spread_table(spark, sf_dir, "pages", "page_id", "html"),
@@ -321,6 +332,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         eps_final, eps_from_html, eps_with_text, grid_from_html, table_elements,
+        nested_grid, eps_from_layout,
         page_text_elements, clean_cells, drop_empty_rows, drop_empty_columns, column_types,
         retyped_columns, eps_typed_columns, eps_typed_html, row_labels,
         header_rows, year_order, header_groups, row_context, long_table_context, eps_rows,

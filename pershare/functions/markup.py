@@ -168,18 +168,55 @@ def _tag(name: str | None) -> str | None:
     return tag if tag.lstrip("/") in _SHAPING else None
 
 
-def _outermost_tables(names: list) -> list[tuple[int, int]]:
-    """Positions of the opening and closing tags; an open table ends with the document."""
-    found, depth, start = [], 0, 0
-    for i in [i for i, name in enumerate(names) if name in _TABLE_NAMES]:
-        if names[i][0] != "/":
-            start = start if depth else i
-            depth += 1
-        elif depth:
-            depth -= 1
-            if depth == 0:
-                found.append((start, i))
-    return found + ([(start, len(names))] if depth else [])
+def _table_tree(names: list) -> list[list[int]]:
+    """``[start, end, depth]`` of all tables, by their opening tags; an open table ends with the document.
+
+    A table that opens between two cells of another cannot be in a cell of it: the other one lacks its closing tag and ends
+    with the last of its own tags.
+    """
+    found, open_, in_cell, last = [], [], [], []
+    for i, name in enumerate(names):
+        if name in _TABLE_NAMES:
+            if name[0] != "/":
+                while open_ and not in_cell[-1]:
+                    open_.pop()[1] = last.pop()
+                    in_cell.pop()
+                found.append([i, len(names), len(open_)])
+                open_.append(found[-1])
+                in_cell.append(False)
+                last.append(i)
+            elif open_:
+                open_.pop()[1] = i
+                in_cell.pop()
+                last.pop()
+        elif open_ and name is not None and (tag := name.lower()).lstrip("/") in _TABLE_TAGS:
+            in_cell[-1], last[-1] = tag in ("td", "th"), i
+    return found
+
+
+def _own_tags(
+    names: list, attrs: list, texts: list, table: list[int], within: list[list[int]], nested: bool
+):
+    """Names, attributes and texts inside a table: those of the tables in its cells left out, or without their shape."""
+    start, end, _ = table
+    own = names[start + 1 : end], attrs[start + 1 : end], texts[start + 1 : end]
+    if not within:
+        return own
+    out, at = ([], [], []), 0
+    for first, last, _ in within:
+        first, last = first - start - 1, min(last, end) - start - 1
+        for part, whole in zip(out, own):
+            part.extend(whole[at:first])
+        # the text after the last tag of a table is in the cell again
+        at = last if nested else first
+        rest = min(last + 1, len(own[0]))
+        out[0].extend(n if n in ("br", "BR") else None for n in own[0][at:rest])
+        out[1].extend(own[1][at:rest])
+        out[2].extend(own[2][at:rest])
+        at = rest
+    for part, whole in zip(out, own):
+        part.extend(whole[at:])
+    return out
 
 
 def _text_runs(first: str, names: list, texts: list) -> Iterator[str]:
@@ -198,20 +235,15 @@ def _text_runs(first: str, names: list, texts: list) -> Iterator[str]:
 
 
 def _read_table(names: list, attrs: list, texts: list, fill_spans: bool):
-    """Column labels, rows and row count of the table whose inner tags are given.
-
-    The text of a table within a cell belongs to that cell.
-    """
-    grid, depth = _Grid(fill_spans), 0
+    """Column labels, rows and row count of the table whose own tags are given."""
+    grid = _Grid(fill_spans)
     for name, attr, text in zip(names, attrs, texts):
         tag = _tag(name)
         if tag is not None:
             bare = tag.lstrip("/")
-            if bare == "table":
-                depth += 1 if tag == bare else -1
-            elif bare == "br":
+            if bare == "br":
                 text = "\n" + text
-            elif depth == 0 and bare in _TABLE_TAGS:
+            elif bare in _TABLE_TAGS:
                 grid.on_tag(bare, tag != bare, attr)
         if text and grid.cell is not None:
             grid.cell[3].append(text)
@@ -223,32 +255,52 @@ def parse_elements(
     with_text: bool = False,
     fill_spans: bool = False,
     table_filter: re.Pattern | None = None,
+    nested: bool = False,
 ) -> list[dict]:
-    """Outermost tables and, if wanted, runs of text between block tags, in document order.
+    """Tables and, if wanted, runs of text between block tags, in document order.
 
-    Tables in whose text ``table_filter`` finds nothing are numbered but left out.
+    With ``nested`` a table within a cell is a table of its own, after the one it is in, and its text no part of the cell;
+    otherwise only outermost tables count. Tables in whose text ``table_filter`` finds nothing are numbered but left out.
     """
     parts = _MARKUP.split(document)
     names, attrs, texts = parts[1::3], parts[2::3], parts[3::3]
     elements: list[dict] = []
     seq, position, before = 0, 0, parts[0]
-    for start, end in [*_outermost_tables(names), (len(names), None)]:
+    tree = _table_tree(names)
+    outer = [k for k, (_, _, depth) in enumerate(tree) if depth == 0]
+
+    def add_table(table: list[int], within: list[list[int]]):
+        nonlocal seq
+        own = _own_tags(names, attrs, texts, table, within, nested)
+        if table_filter is None or table_filter.search(
+            html_entities.unescape("".join([texts[table[0]], *own[2]]))
+        ):
+            labels, rows, n_rows = _read_table(*own, fill_spans)
+            element = {"tag": "table", "n_rows": n_rows, "col_labels": labels, "rows": rows}
+            elements.append({"elem_seq": seq, **element})
+        seq += 1
+
+    def add_tables(tables: list[list[int]]):
+        """An outermost table and, if they count, those in its cells."""
+        above: list[int] = []
+        within: list[list] = [[] for _ in tables]
+        for k, (_, _, depth) in enumerate(tables):
+            del above[depth:]
+            if above:
+                within[above[-1]].append(tables[k])
+            above.append(k)
+        for table, inner in zip(tables if nested else tables[:1], within):
+            add_table(table, inner)
+
+    for first, next_ in zip([*outer, None], [*outer[1:], len(tree), None]):
+        start, end = tree[first][:2] if first is not None else (len(names), None)
         if with_text:
             for run in _text_runs(before, names[position:start], texts[position:start]):
                 elements.append({"elem_seq": seq, "tag": "text", "n_rows": 0, "text": run})
                 seq += 1
         if end is None:
             break
-        inside = slice(start + 1, end)
-        if table_filter is None or table_filter.search(
-            html_entities.unescape("".join(texts[start:end]))
-        ):
-            labels, rows, n_rows = _read_table(
-                names[inside], attrs[inside], texts[inside], fill_spans
-            )
-            table = {"tag": "table", "n_rows": n_rows, "col_labels": labels, "rows": rows}
-            elements.append({"elem_seq": seq, **table})
-        seq += 1
+        add_tables(tree[first:next_])
         position, before = end + 1, "".join(texts[end : end + 1])
     return elements
 
@@ -258,11 +310,12 @@ def elements_of(
     with_text: bool = False,
     fill_spans: bool = False,
     tables_with: str | None = None,
+    nested: bool = False,
 ) -> Column:
     """``html`` -> array of elements; null for null.
 
     ``fill_spans`` repeats the text of a spanned cell in the slots it covers, which are empty
-    otherwise. With ``tables_with``, a pattern, only tables in whose text it is found are read any
+    otherwise. ``nested`` makes tables within cells tables of their own. With ``tables_with``, a pattern, only tables in whose text it is found are read any
     further: joining the text of a table is cheap beside taking it apart. The function is declared nondeterministic so that the optimizer never copies it
     into a second evaluation.
     """
@@ -273,7 +326,9 @@ def elements_of(
         for batch in batches:
             documents = (value.as_py() for value in batch)
             parsed = [
-                None if doc is None else parse_elements(doc, with_text, fill_spans, table_filter)
+                None
+                if doc is None
+                else parse_elements(doc, with_text, fill_spans, table_filter, nested)
                 for doc in documents
             ]
             yield pa.array(parsed, type=_ARROW_TYPE)

@@ -10,13 +10,16 @@ from pershare.functions.markup import elements_of
 ROW_THRESHOLD = 1
 
 
-def elements(filings: DataFrame, with_text: bool = True, fill_spans: bool = False) -> DataFrame:
+def elements(
+    filings: DataFrame, with_text: bool = True, fill_spans: bool = False, nested: bool = False
+) -> DataFrame:
     """One row per element of a filing, in the order of ``elem_seq``.
 
-    Tables of a single row are text. A filing leaves the plan here: only its elements go on.
+    Tables of a single row are text. With ``nested`` a table within a cell is an element of its own. A filing leaves the plan here: only its elements go on.
     """
     parsed = filings.select(
-        "filename", elements_of(_worth_parsing(with_text), with_text, fill_spans).alias("parsed")
+        "filename",
+        elements_of(_worth_parsing(with_text), with_text, fill_spans, nested=nested).alias("parsed"),
     )
     element = F.col("element")
     is_table = (element.tag == "table") & (element.n_rows > ROW_THRESHOLD)

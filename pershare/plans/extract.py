@@ -21,6 +21,7 @@ def extract_eps(
     force_loss_negative: bool = False,
     audit: bool = False,
     typed_columns: bool = False,
+    nested_tables: bool = False,
 ) -> DataFrame:
     """``filename`` and ``EPS`` for every readable filing; 0 where none is found.
 
@@ -28,14 +29,19 @@ def extract_eps(
     filings without a table candidate fall back on their text; only sentences that name the phrase
     and hold a dollar sign are encoded, and one aggregate per filing follows. ``audit`` adds
     ``n_unreadable``, the number of matching rows whose number could not be read, for tables only.
-    ``typed_columns`` reads tables with a type for each column, so that whole numbers among decimals or gaps are values.
+    ``typed_columns`` reads tables with a type for each column, so that whole numbers among decimals or gaps are values;
+    ``nested_tables`` reads tables within cells as tables of their own, for filings laid out by tables.
     """
     if make_encoder is None:
-        found = filing_candidates(filings, timeframe, force_loss_negative, typed_columns)
+        found = filing_candidates(
+            filings, timeframe, force_loss_negative, typed_columns, nested_tables
+        )
         eps = F.coalesce(sections.best_value(F.col("candidates")), F.lit(0.0)).alias("EPS")
         extra = [sections.count_unreadable(F.col("candidates")).alias("n_unreadable")]
         return found.select("filename", eps, *(extra if audit else []))
-    return _with_text_fallback(filings, timeframe, make_encoder, force_loss_negative, typed_columns)
+    return _with_text_fallback(
+        filings, timeframe, make_encoder, force_loss_negative, typed_columns, nested_tables
+    )
 
 
 def filing_candidates(
@@ -43,12 +49,15 @@ def filing_candidates(
     timeframe: int = DEFAULT_TIMEFRAME,
     force_loss_negative: bool = False,
     typed_columns: bool = False,
+    nested_tables: bool = False,
 ) -> DataFrame:
     """``filename`` and ``candidates``, the array of table candidates in document order."""
     html = F.col("html")
     parsed = decodable(filings).select(
         "filename",
-        elements_of(F.when(html.rlike("(?i)<table"), html), tables_with=EPS_FRAGMENT).alias("parsed"),
+        elements_of(
+            F.when(html.rlike("(?i)<table"), html), tables_with=EPS_FRAGMENT, nested=nested_tables
+        ).alias("parsed"),
     )
     return sections.with_candidates(
         parsed, timeframe, force_loss_negative, typed_columns=typed_columns
@@ -86,14 +95,16 @@ def eps_from_grid(
 
 
 def _with_text_fallback(
-    filings, timeframe, make_encoder, force_loss_negative, typed_columns
+    filings, timeframe, make_encoder, force_loss_negative, typed_columns, nested_tables
 ) -> DataFrame:
     """One pass over the filings: a row for each filing, with its table value, and one more for
     each sentence to encode. A single aggregate brings them together again, so neither the HTML
     nor its parse is needed twice."""
     parsed = decodable(filings).select(
         "filename",
-        elements_of(F.col("html"), with_text=True, tables_with=EPS_FRAGMENT).alias("parsed"),
+        elements_of(
+            F.col("html"), with_text=True, tables_with=EPS_FRAGMENT, nested=nested_tables
+        ).alias("parsed"),
     )
     rows = (
         parsed.withColumn("sentences", _sentences_to_encode(F.col("parsed")))
