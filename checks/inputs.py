@@ -7,13 +7,13 @@ headers, some of them with two years; the others carry a label and two amounts.
 
 import posixpath
 import sys
-import tempfile
 import uuid
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pershare.plans.shared import shared_folder
 from pershare.plans.spread import spread
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -258,6 +258,12 @@ def news_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spoilt(html: Column, n: Column) -> Column:
+    """The bytes of a filing, for every eleventh ``n`` not all UTF-8; null for every thirteenth."""
+    broken = F.concat(F.encode(html, "utf-8"), F.unhex(F.lit("C328FF")))
+    return F.when(n % 13 != 0, F.when(n % 11 == 0, broken).otherwise(F.encode(html, "utf-8")))
+
+
 def near_first_encoder():
     """A stand-in for a language model: words as tokens, dollar signs less alike the later."""
     import re
@@ -276,9 +282,8 @@ def near_first_encoder():
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A new folder in the place the cluster shares, or in a temporary one where none is named."""
-    shared = spark.conf.get("spark.checkpoint.dir", "")
-    return posixpath.join(shared or tempfile.mkdtemp(prefix="run-"), uuid.uuid4().hex)
+    """A new folder in the place the cluster shares."""
+    return posixpath.join(shared_folder(spark), uuid.uuid4().hex)
 
 
 def write_files(files: DataFrame, folder: str) -> None:

@@ -188,6 +188,17 @@ select doc, 0.0 from named where n_rows = 1"""
 DOCUMENTS = _documents(ALL)
 DOCUMENT_EPS = _document_eps(ALL)
 
+# News by order: values by table and by text, and whether the bytes can be read.
+NEWS = """
+with orders_ as (select o_orderkey as k, o_orderkey % 500 as cents from orders),
+news as (
+  select k, 'q' || k % 2 || '.html' as filename, k % 13 <> 0 and k % 11 <> 0 as readable,
+    case when k % 4 = 0 then case when k % 5 = 0 then -cents / 100.0 else cents / 100.0 end end as by_table,
+    case when k % 3 <> 0 then k % 9 + (k % 100) / 100.0
+         when k % 2 = 0 and k % 5 <> 0 then cents / 100.0 end as by_text
+  from orders_
+)"""
+
 PADDED = f"""with {GRID},
 padded as (
   select {KEYS}, case when row_idx % 4 = 0 then [null, ' ', ' ', ' ', ' ']
@@ -260,6 +271,25 @@ ORACLES = {
           when k % 2 = 0 and k % 5 <> 0 then cents / 100.0
           else 0.0 end, 4) + 0.0 as EPS
         from (select o_orderkey as k, o_orderkey % 500 as cents from orders)""",
+    "eps_status": f"""{DOCUMENTS},
+        valued as (
+          select doc as filename, cast(substr(named.filename, 6) as bigint) as c, value
+          from named left join (select * from best where place = 1 and true) b
+            on named.filename = b.filename and named.table_seq = b.table_seq and n_rows > 1)
+        select filename, case when c % 13 <> 0 and c % 11 <> 0 then coalesce(value, 0.0) + 0.0 end as EPS,
+          case when c % 13 = 0 or c % 11 = 0 then 'undecodable' when value is null then 'none'
+               else 'table' end as status
+        from valued""",
+    "eps_same_names": f"""{NEWS}
+        select filename, case when readable then round(coalesce(by_table, by_text, 0.0), 4) + 0.0 end as EPS,
+          case when not readable then 'undecodable' when by_table is not null then 'table'
+               when by_text is not null then 'text' else 'none' end as status
+        from news""",
+    "eps_same_names_tables": f"""{NEWS}
+        select filename, case when readable then round(coalesce(by_table, 0.0), 4) + 0.0 end as EPS,
+          case when not readable then 'undecodable' when by_table is not null then 'table'
+               else 'none' end as status
+        from news""",
     "grid_from_html": f"""{DOCUMENTS}
         select doc as filename, row_idx - 1 as row_idx, concat_ws('|', label, c1, c2) as cells
         from grid join named using (filename, table_seq) where n_rows > 1""",

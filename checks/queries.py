@@ -71,6 +71,32 @@ def eps_with_text(spark, sf_dir):
     return shown(extract_eps(news, TIMEFRAME, inputs.near_first_encoder), "filename", "EPS")
 
 
+def eps_status(spark, sf_dir):
+    """Every filing once, bytes that are no UTF-8 included."""
+    pages = inputs.documents(spark, sf_dir)
+    customer = F.regexp_extract("filename", r"\d+", 0).cast("long")
+    held = filings.packed_filings(pages, F.col("filename"), inputs.spoilt(F.col("html"), customer))
+    return shown(extract_eps(held, TIMEFRAME, status=True), "filename", "EPS", "status")
+
+
+def _same_names(spark, sf_dir):
+    """The news under two names in all, told apart by where they are from."""
+    news = inputs.news_filings(spark, sf_dir)
+    order = F.regexp_extract("filename", r"\d+", 0).cast("long")
+    name = F.concat(F.lit("q"), (order % 2).cast("string"), F.lit(".html"))
+    held = inputs.spoilt(F.col("html"), order)
+    return filings.packed_filings(news, name, held, F.concat(F.lit("in/"), F.col("filename")))
+
+
+def eps_same_names(spark, sf_dir):
+    found = extract_eps(_same_names(spark, sf_dir), TIMEFRAME, inputs.near_first_encoder, status=True)
+    return shown(found, "filename", "EPS", "status")
+
+
+def eps_same_names_tables(spark, sf_dir):
+    return shown(extract_eps(_same_names(spark, sf_dir), TIMEFRAME, status=True), "filename", "EPS", "status")
+
+
 def grid_from_html(spark, sf_dir):
     parsed = elements.elements(inputs.documents(spark, sf_dir), with_text=False)
     return shown(elements.grid_rows(parsed), "filename", "row_idx", "cells")
@@ -332,7 +358,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         eps_final, eps_from_html, eps_with_text, grid_from_html, table_elements,
-        nested_grid, eps_from_layout,
+        nested_grid, eps_from_layout, eps_status, eps_same_names, eps_same_names_tables,
         page_text_elements, clean_cells, drop_empty_rows, drop_empty_columns, column_types,
         retyped_columns, eps_typed_columns, eps_typed_html, row_labels,
         header_rows, year_order, header_groups, row_context, long_table_context, eps_rows,

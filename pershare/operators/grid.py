@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pershare.functions import cells as cell
 from pershare.functions import columns
 from pershare.functions.labels import join_context
+from pershare.plans.shared import written_once
 
 KEYS = ["filename", "table_seq"]
 BLOCK_ROWS = 65_536
@@ -194,17 +195,23 @@ def _within(facts: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _across_blocks(framed: DataFrame) -> DataFrame:
-    """Complete the first rows of each block with what the blocks before it hand on."""
-    long_tables = framed.filter(F.col("block") > 0).select(*KEYS).distinct()
+    """Complete the first rows of each block with what the blocks before it hand on.
+
+    The rows are walked once and written; the summary of the blocks reads a few columns of that, and so do the rows it is
+    joined to. Tables of a single block hand nothing on, so they have no row in the summary.
+    """
+    framed = written_once(framed, "framed")
     last_groups = (
-        framed.join(long_tables, KEYS, "left_semi")
-        .groupBy(*KEYS, "block")
+        framed.groupBy(*KEYS, "block")
         .agg(
             F.max("group_start").alias("start"),
             F.max(F.when(F.col("is_header"), F.col("row_idx"))).alias("end"),
             F.max_by("header", "group_start").alias("text"),
             F.bool_or("years_ascend").alias("ascend"),
         )
+        .withColumn("last_block", F.max("block").over(Window.partitionBy(*KEYS)))
+        .filter(F.col("last_block") > 0)
+        .drop("last_block")
     )
     by_block = Window.partitionBy(*KEYS).orderBy("block")
     so_far = by_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)

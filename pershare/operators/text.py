@@ -4,7 +4,9 @@ Everything about a sentence - its tokens, their vectors, the comparison of numbe
 sentence's row as arrays; nothing is shuffled before candidates are ranked.
 """
 
+import hashlib
 import sys
+import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -98,23 +100,32 @@ def sentence_variants(
 def token_vectors(sents: DataFrame, make_encoder: Callable[[], Encoder]) -> DataFrame:
     """Add ``tokens``: token text and vector, from an encoder supplied by the caller.
 
-    ``make_encoder`` is called once per task and returns a function from a list of sentences to a
-    list of (token texts, vectors). Null sentences get null without being encoded.
+    ``make_encoder`` returns a function from a list of sentences to a list of (token texts, vectors). It is called once in
+    the life of a Python worker, which serves many tasks, and not before the first sentence comes. Null sentences get null
+    without being encoded.
     """
+    digest = hashlib.sha256(cloudpickle.dumps(make_encoder)).hexdigest()
 
     @F.arrow_udf(TOKEN_TYPE)
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = make_encoder()
         for batch in batches:
             texts = batch.to_pylist()
             wanted = [t for t in texts if t is not None]
-            encoded = iter(encoder(wanted) if wanted else [])
+            encoded = iter(_encoder(digest, make_encoder)(wanted) if wanted else [])
             rows = [None if t is None else _token_rows(*next(encoded)) for t in texts]
             yield pa.array(rows, type=_ARROW_TOKENS)
 
     return sents.withColumn("tokens", encode.asNondeterministic()(F.col("sentence")))
 
 
+def _encoder(digest: str, make_encoder: Callable[[], Encoder]) -> Encoder:
+    """The worker's encoder; this module's own globals come anew with every task, so it is kept beside the modules."""
+    kept = sys.modules.setdefault("_pershare_encoders", types.ModuleType("_pershare_encoders"))
+    if not hasattr(kept, digest):
+        setattr(kept, digest, make_encoder())
+    return getattr(kept, digest)
+
+
 def _token_rows(texts, vectors) -> list[dict]:
     return [{"tok": tok, "vec": vec} for tok, vec in zip(texts, vectors, strict=True)]
 

@@ -22,6 +22,7 @@ def extract_eps(
     audit: bool = False,
     typed_columns: bool = False,
     nested_tables: bool = False,
+    status: bool = False,
 ) -> DataFrame:
     """``filename`` and ``EPS`` for every readable filing; 0 where none is found.
 
@@ -31,17 +32,45 @@ def extract_eps(
     ``n_unreadable``, the number of matching rows whose number could not be read, for tables only.
     ``typed_columns`` reads tables with a type for each column, so that whole numbers among decimals or gaps are values;
     ``nested_tables`` reads tables within cells as tables of their own, for filings laid out by tables.
+
+    ``status`` gives every filing a row, from the same scan, with ``filing_id`` if the filings have one: ``table`` or ``text``
+    where the value was found, ``none`` where it is 0 for want of any, ``undecodable`` with no value for bytes that are no UTF-8.
+    Filings of one name are told apart by ``filing_id``, or else by what they hold; without ``status`` each has its row too.
     """
+    if not status:
+        filings = decodable(filings)
     if make_encoder is None:
         found = filing_candidates(
             filings, timeframe, force_loss_negative, typed_columns, nested_tables
         )
-        eps = F.coalesce(sections.best_value(F.col("candidates")), F.lit(0.0)).alias("EPS")
+        found = found.withColumn("table_value", sections.best_value(F.col("candidates")))
         extra = [sections.count_unreadable(F.col("candidates")).alias("n_unreadable")]
-        return found.select("filename", eps, *(extra if audit else []))
+        return found.select(*_results(found, status), *(extra if audit else []))
     return _with_text_fallback(
-        filings, timeframe, make_encoder, force_loss_negative, typed_columns, nested_tables
+        filings, timeframe, make_encoder, force_loss_negative, typed_columns, nested_tables, status
+    )
+
+
+def _results(found: DataFrame, status: bool) -> list[Column]:
+    """The name, the value and, if wanted, where it is from."""
+    text_value = F.col("text_value") if "text_value" in found.columns else F.lit(None)
+    eps = F.coalesce("table_value", text_value, F.lit(0.0))
+    if not status:
+        return [F.col("filename"), eps.alias("EPS")]
+    where = (
+        F.when(~F.col("readable"), "undecodable")
+        .when(F.col("table_value").isNotNull(), "table")
+        .when(text_value.isNotNull(), "text")
+        .otherwise("none")
     )
+    ids = [F.col("filing_id")] if "filing_id" in found.columns else []
+    return [F.col("filename"), *ids, F.when(F.col("readable"), eps).alias("EPS"), where.alias("status")]
+
+
+def _filing_columns(filings: DataFrame) -> list[Column]:
+    """What goes along with a filing: its name, its id if it has one, and whether it can be read."""
+    ids = [F.col("filing_id")] if "filing_id" in filings.columns else []
+    return [F.col("filename"), *ids, F.col("html").isNotNull().alias("readable")]
 
 
 def filing_candidates(
@@ -51,10 +80,10 @@ def filing_candidates(
     typed_columns: bool = False,
     nested_tables: bool = False,
 ) -> DataFrame:
-    """``filename`` and ``candidates``, the array of table candidates in document order."""
+    """``filename``, ``candidates``, the array of table candidates in document order, and ``readable``, false for bytes that are no UTF-8."""
     html = F.col("html")
-    parsed = decodable(filings).select(
-        "filename",
+    parsed = filings.select(
+        *_filing_columns(filings),
         elements_of(
             F.when(html.rlike("(?i)<table"), html), tables_with=EPS_FRAGMENT, nested=nested_tables
         ).alias("parsed"),
@@ -95,40 +124,44 @@ def eps_from_grid(
 
 
 def _with_text_fallback(
-    filings, timeframe, make_encoder, force_loss_negative, typed_columns, nested_tables
+    filings, timeframe, make_encoder, force_loss_negative, typed_columns, nested_tables, status
 ) -> DataFrame:
     """One pass over the filings: a row for each filing, with its table value, and one more for
     each sentence to encode. A single aggregate brings them together again, so neither the HTML
     nor its parse is needed twice."""
-    parsed = decodable(filings).select(
-        "filename",
+    # two filings may have one name; without an id what they hold tells them apart
+    key = F.col("filing_id") if "filing_id" in filings.columns else F.xxhash64("html")
+    parsed = filings.select(
+        *_filing_columns(filings),
+        key.alias("own_key"),
         elements_of(
             F.col("html"), with_text=True, tables_with=EPS_FRAGMENT, nested=nested_tables
         ).alias("parsed"),
     )
+    kept = [c for c in parsed.columns if c != "parsed"]
     rows = (
         parsed.withColumn("sentences", _sentences_to_encode(F.col("parsed")))
         .transform(
             sections.with_candidates, timeframe, force_loss_negative, typed_columns=typed_columns
         )
         .withColumn("table_value", sections.best_value(F.col("candidates")))
-        .select("filename", "table_value", F.explode(_filing_and_sentences()).alias("s"))
-        .select("filename", "table_value", "s.*")
+        .select(*kept, "table_value", F.explode(_filing_and_sentences()).alias("s"))
+        .select(*kept, "table_value", "s.*")
     )
     nearest = text.nearest_number(F.col("tokens"), F.col("phrase"))
-    return (
+    found = (
         rows.transform(text.token_vectors, make_encoder)
         .transform(text.sentence_variants, outer=True)
         .withColumn("num", F.when(F.col("phrase").isNotNull(), nearest).num)
         .withColumn("value", F.col("num").try_cast("double"))
         .withColumn("score", _score(F.col("sentence"), F.col("value")))
-        .groupBy("filename")
+        .groupBy(*kept)
         .agg(
             F.max("table_value").alias("table_value"),
             _best(rank.TEXT_ORDER).alias("text_value"),
         )
-        .select("filename", F.coalesce("table_value", "text_value", F.lit(0.0)).alias("EPS"))
     )
+    return found.select(*_results(found, status))
 
 
 def _sentences_to_encode(elements: Column) -> Column:
@@ -152,8 +185,9 @@ def _sentences_to_encode(elements: Column) -> Column:
 def _filing_and_sentences() -> Column:
     """A null for the filing itself, then its sentences where the tables gave nothing."""
     itself = F.lit(None).cast("struct<elem_seq:int,sent_idx:int,sentence:string>")
-    needed = F.when(F.col("table_value").isNull(), F.col("sentences")).otherwise(F.array())
-    return F.concat(F.array(itself), needed)
+    needed = F.when(F.col("table_value").isNull(), F.col("sentences"))
+    none = F.array().cast("array<struct<elem_seq:int,sent_idx:int,sentence:string>>")
+    return F.concat(F.array(itself), F.coalesce(needed, none))
 
 
 def _score(context: Column, value: Column) -> Column:

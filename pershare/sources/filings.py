@@ -1,4 +1,7 @@
-"""Readers of filings: ``filename``, ``html`` and ``mtime``, one row per filing."""
+"""Readers of filings: ``filename``, ``html``, ``mtime`` and ``filing_id``, one row per filing.
+
+``filing_id`` tells filings apart that have the same bare name: it is made of the path and the bytes.
+"""
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,13 +31,30 @@ def stream_filings(spark: SparkSession, folder: str, max_files: int | None = Non
     return _as_filings(reader.load(folder))
 
 
-def packed_filings(table: DataFrame, filename: Column, html: Column) -> DataFrame:
-    """Filings held as rows of a table, batch or stream: far cheaper to list than single files."""
-    return table.select(filename.alias("filename"), html.alias("html"))
+def packed_filings(
+    table: DataFrame, filename: Column, html: Column, path: Column | None = None
+) -> DataFrame:
+    """Filings held as rows of a table, batch or stream: far cheaper to list than single files.
+
+    ``html`` may be bytes: those that are no valid UTF-8 become null. With ``path``, which names where a filing is from,
+    filings get an id.
+    """
+    packed = table.select(
+        filename.alias("filename"),
+        F.try_validate_utf8(html.cast("string")).alias("html"),
+        *([] if path is None else [filing_id(path, html).alias("filing_id")]),
+    )
+    return packed
+
+
+def filing_id(path: Column, content: Column) -> Column:
+    """A key for a filing: a hash of where it is from and of what it holds."""
+    held = F.sha2(F.coalesce(content.cast("binary"), F.lit("").cast("binary")), 256)
+    return F.sha2(F.concat_ws(":", held, F.isnull(content).cast("string"), path), 256)
 
 
 def undecodable(filings: DataFrame) -> DataFrame:
-    """Filings whose bytes are no valid UTF-8; extraction leaves them out."""
+    """Filings whose bytes are no valid UTF-8; extraction leaves them out unless asked for each filing's status."""
     return filings.filter(F.col("html").isNull()).drop("html")
 
 
@@ -47,4 +67,5 @@ def _as_filings(files: DataFrame) -> DataFrame:
         F.regexp_extract("path", r"[^/]*\z", 0).alias("filename"),
         F.try_validate_utf8(F.col("content").cast("string")).alias("html"),
         F.col("modificationTime").alias("mtime"),
+        filing_id(F.col("path"), F.col("content")).alias("filing_id"),
     )
