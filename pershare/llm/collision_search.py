@@ -12,7 +12,7 @@ size, its best k go on, and the best k of all blocks win. All rows are indexed,
 
 Rules. A vector that is null, all zero or holds a null or a component that is not finite takes no part; nor does one whose
 length is not the most frequent one (the smallest of ties). Of rows with the same id the smallest vector counts.
-Ties in score go to the smaller id. Fewer than k candidates give fewer rows; an empty table gives none.
+Components may have any finite size: a score that a double cannot hold is infinite. Ties in score go to the smaller id. Fewer than k candidates give fewer rows; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ SLICE = 50_000
 TOGETHER = 256
 #: Lengths of a block's vectors lie between two powers of this next to each other, so that a few long vectors flatten no differences.
 CLASS = 1.05
-#: Half the first window, in units of the projected length of the longest vector.
-START = 1.05
+#: Half the first window, in units of the projected length of the longest vector: about where the first candidates pass.
+START = 1.25
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -38,12 +38,14 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, longest: float, k: int, projections: int = 96, threshold: float = 0.7, growth: float = 1.06, share: float = 0.11) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, longest: float, k: int, projections: int = 96, threshold: float = 0.7, growth: float = 1.08, share: float = 0.16) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query's place, vector's place, inner product) of all verified pairs. Windows end on 256ths of the sorted arrays."""
-    rest = np.sqrt(np.maximum(longest**2 - (vectors**2).sum(1), 0))
+    scaled, sizes = vectors / longest, np.abs(queries).max(1)[:, None]
+    unit = queries / sizes
+    rest = np.sqrt(np.maximum(1 - (scaled**2).sum(1), 0))
     directions = np.random.default_rng(7).standard_normal((vectors.shape[1] + 1, projections))
-    hashed = (np.c_[vectors, rest] @ directions / longest).T
-    asked = (queries / np.sqrt((queries**2).sum(1))[:, None]) @ directions[:-1]
+    hashed = (np.c_[scaled, rest] @ directions).T
+    asked = (unit / np.sqrt((unit**2).sum(1))[:, None]) @ directions[:-1]
     order = np.argsort(hashed, 1)
     ordered = np.take_along_axis(hashed, order, 1)
     n = len(vectors)
@@ -71,7 +73,7 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray
             verified[q, v] = True
             for at in range(0, len(q), SLICE):
                 i, j = q[at : at + SLICE] + first, v[at : at + SLICE]
-                score = np.einsum("ij,ij->i", queries[i], vectors[j])
+                score = products(queries[i], vectors[j], lambda: np.einsum("ij,ij->i", unit[i], scaled[j]) * sizes[i, 0] * longest)
                 other = query_ids[i] != ids[j]
                 found.append((i[other], j[other], score[other]))
             active = active[(verified[active].sum(1) < enough) & ~everything]
@@ -79,6 +81,20 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray
     return tuple(map(np.concatenate, zip(*found))) if found else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
 
 
+def products(queries: np.ndarray, vectors: np.ndarray, scaled) -> np.ndarray:
+    """Inner products in double precision; where a sum of too large terms is no number, the product of the scaled vectors."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        score = np.einsum("ij,ij->i", queries, vectors)
+        return np.where(np.isnan(score), scaled(), score) if np.isnan(score).any() else score
+
+
+def lengths(x: np.ndarray) -> np.ndarray:
+    """Lengths of vectors of any finite size; infinite only where a double cannot hold the length."""
+    most = np.abs(x).max(1)
+    with np.errstate(over="ignore"):
+        return most * np.sqrt(((x / most[:, None]) ** 2).sum(1))
+
+
 def _searcher(k: int):
     def search(key, queries: pa.Table, vectors: pa.Table) -> pa.Table:
         empty = {"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())}
@@ -86,7 +102,7 @@ def _searcher(k: int):
             return pa.table(empty)
         query_ids, ids = queries.column("id").to_numpy(), vectors.column("id").to_numpy()
         x = _matrix(vectors.column("vector"))
-        q, v, score = search_block(_matrix(queries.column("vector")), query_ids, x, ids, float(np.sqrt((x**2).sum(1).max())), k)
+        q, v, score = search_block(_matrix(queries.column("vector")), query_ids, x, ids, float(min(lengths(x).max(), np.finfo(float).max)), k)
         order = np.lexsort((ids[v], -score, q))
         q, v, score = q[order], v[order], score[order]
         first = np.flatnonzero(np.r_[True, q[1:] != q[:-1]]) if len(q) else q
@@ -113,9 +129,13 @@ def nearest(embeddings: DataFrame, queries: DataFrame, k: int = 20, block: int =
     vectors = vectors.where(F.size("vector") == facts["size"])
     asked = usable(queries).where(F.size("vector") == facts["size"])
     n_asked = max(1, -(-asked.count() // query_block))
-    length = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x))
+    # by the largest component, so that no square is too large or too small
+    most = F.array_max(F.transform("vector", lambda x: F.abs(x)))
+    vectors = vectors.withColumn("most", most)
+    squares = F.aggregate("vector", F.lit(0.0), lambda a, x: a + (x / F.col("most")) * (x / F.col("most")))
+    length = F.log("most") + F.log(squares) / 2
     # half a step aside, so that lengths of about 1 are one class
-    vectors = vectors.withColumn("class", F.floor(F.log(length) / float(np.log(CLASS)) + 0.5))
+    vectors = vectors.withColumn("class", F.floor(length / float(np.log(CLASS)) + 0.5)).drop("most")
     classes, n_blocks = [], 0
     for row in vectors.groupBy("class").count().orderBy("class").collect():
         own = -(-row["count"] // block)
