@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Pairs verified at once.
-SLICE = 50_000
+from pershare.functions.vectors import let
+
 #: Queries counted at once.
 TOGETHER = 256
 #: Lengths of a block's vectors lie between two powers of this next to each other, so that a few long vectors flatten no differences.
@@ -71,20 +71,21 @@ def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray
             q, v = np.nonzero((counts >= least) & ~verified[active])
             q = active[q]
             verified[q, v] = True
-            for at in range(0, len(q), SLICE):
-                i, j = q[at : at + SLICE] + first, v[at : at + SLICE]
-                score = products(queries[i], vectors[j], lambda: np.einsum("ij,ij->i", unit[i], scaled[j]) * sizes[i, 0] * longest)
-                other = query_ids[i] != ids[j]
-                found.append((i[other], j[other], score[other]))
+            border = np.flatnonzero(np.r_[True, q[1:] != q[:-1], True]) if len(q) else []
+            for a, b in zip(border[:-1], border[1:]):
+                i, j = q[a] + first, v[a:b]
+                j = j[ids[j] != query_ids[i]]
+                score = products(vectors[j], queries[i], lambda: scaled[j] @ unit[i] * sizes[i, 0] * longest)
+                found.append((np.full(len(j), i), j, score))
             active = active[(verified[active].sum(1) < enough) & ~everything]
             width *= growth
     return tuple(map(np.concatenate, zip(*found))) if found else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
 
 
-def products(queries: np.ndarray, vectors: np.ndarray, scaled) -> np.ndarray:
+def products(vectors: np.ndarray, query: np.ndarray, scaled) -> np.ndarray:
     """Inner products in double precision; where a sum of too large terms is no number, the product of the scaled vectors."""
     with np.errstate(over="ignore", invalid="ignore"):
-        score = np.einsum("ij,ij->i", queries, vectors)
+        score = vectors @ query
         return np.where(np.isnan(score), scaled(), score) if np.isnan(score).any() else score
 
 
@@ -95,6 +96,18 @@ def lengths(x: np.ndarray) -> np.ndarray:
         return most * np.sqrt(((x / most[:, None]) ** 2).sum(1))
 
 
+def leading(q: np.ndarray, v: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each query's pairs those that score no less than its k-th best."""
+    order = np.argsort(q, kind="stable")
+    q, v, score = q[order], v[order], score[order]
+    border = np.flatnonzero(np.r_[True, q[1:] != q[:-1], True]) if len(q) else []
+    keep = np.ones(len(q), bool)
+    for a, b in zip(border[:-1], border[1:]):
+        if b - a > k:
+            keep[a:b] = score[a:b] >= np.partition(score[a:b], b - a - k)[b - a - k]
+    return q[keep], v[keep], score[keep]
+
+
 def _searcher(k: int):
     def search(key, queries: pa.Table, vectors: pa.Table) -> pa.Table:
         empty = {"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())}
@@ -103,6 +116,7 @@ def _searcher(k: int):
         query_ids, ids = queries.column("id").to_numpy(), vectors.column("id").to_numpy()
         x = _matrix(vectors.column("vector"))
         q, v, score = search_block(_matrix(queries.column("vector")), query_ids, x, ids, float(min(lengths(x).max(), np.finfo(float).max)), k)
+        q, v, score = leading(q, v, score, k)
         order = np.lexsort((ids[v], -score, q))
         q, v, score = q[order], v[order], score[order]
         first = np.flatnonzero(np.r_[True, q[1:] != q[:-1]]) if len(q) else q
@@ -131,11 +145,10 @@ def nearest(embeddings: DataFrame, queries: DataFrame, k: int = 20, block: int =
     n_asked = max(1, -(-asked.count() // query_block))
     # by the largest component, so that no square is too large or too small
     most = F.array_max(F.transform("vector", lambda x: F.abs(x)))
-    vectors = vectors.withColumn("most", most)
-    squares = F.aggregate("vector", F.lit(0.0), lambda a, x: a + (x / F.col("most")) * (x / F.col("most")))
-    length = F.log("most") + F.log(squares) / 2
+    squares = lambda m: F.aggregate("vector", F.lit(0.0), lambda a, x: a + (x / m) * (x / m))
+    length = let(most, lambda m: F.log(m) + F.log(squares(m)) / 2)
     # half a step aside, so that lengths of about 1 are one class
-    vectors = vectors.withColumn("class", F.floor(length / float(np.log(CLASS)) + 0.5)).drop("most")
+    vectors = vectors.withColumn("class", F.floor(length / float(np.log(CLASS)) + 0.5))
     classes, n_blocks = [], 0
     for row in vectors.groupBy("class").count().orderBy("class").collect():
         own = -(-row["count"] // block)
