@@ -5,8 +5,9 @@ over the root of the product of their own numbers. A sample of labelled texts gi
 with them, made independent by the inverse root of the landmarks' own kernel, are the features of one ridge
 regression for each language against the rest. Texts are scored in batches of matrix products.
 
-The sample has about ``per_lang`` rows of each language, chosen by a hash of the row; all else sees every row and whole
-texts. Rules: A-Z is lower-cased, ASCII that is no letter counts as a space. A text that is null or without letters
+The sample has about ``per_lang`` different texts of each language, and at most twice as many, chosen by a hash of the text; copies count
+once, so no copied text fills it, and every language that has a text with letters is learned. The driver holds a row of ``DIM``
+numbers for each text of the sample. All else sees every row and whole texts. Rules: A-Z is lower-cased, ASCII that is no letter counts as a space. A text that is null or without letters
 is ``und`` with score 0, and so is every text if there is nothing to learn from. Ties go to the first language in
 alphabetical order.
 """
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import BASE, arrow_map, chunks, free_name
@@ -91,12 +92,16 @@ class LanguageModel:
 def fit(docs: DataFrame, per_lang: int = 1000, landmarks: int = 160, ridge: float = 1.0) -> LanguageModel:
     """Learns from the rows of ``docs`` (text, lang) with both; see the module for the sample."""
     labelled = docs.where("text is not null and lang is not null").select("text", "lang", F.xxhash64("text", "lang").alias("place"))
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(256).collect()}
+    different = labelled.select("lang", "place").distinct().groupBy("lang").count()
+    counts = {r["lang"]: r["count"] for r in different.collect()}
     if not counts:
         return LanguageModel([], np.zeros((0, DIM), np.float32), np.zeros((0, 0), np.float32))
-    share = F.create_map(*[x for lang, n in counts.items() for x in (F.lit(lang), F.lit(min(1.0, per_lang / n)))])
+    share = F.create_map(*[x for lang, n in sorted(counts.items()) for x in (F.lit(lang), F.lit(min(1.0, per_lang / n)))])
     chosen = labelled.where(F.pmod("place", F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30))
-    sample = arrow_map(chosen, _features, "lang string, place long, bits binary").orderBy("place", "lang").limit(2 * per_lang * len(counts)).collect()
+    featured = arrow_map(chosen, _features, "lang string, place long, bits binary").dropDuplicates(["lang", "place"])
+    number = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
+    sample = featured.withColumn("number", number).where(F.col("number") <= 2 * per_lang).collect()
+    sample.sort(key=lambda r: (r["place"], r["lang"]))
     langs = sorted({r["lang"] for r in sample})
     if not langs:
         return LanguageModel([], np.zeros((0, DIM), np.float32), np.zeros((0, 0), np.float32))
