@@ -19,9 +19,12 @@ WHITE_SPACE = b" \t\n\x0b\x0c\r"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir``; a temporary one only where it is unset, as in tests."""
+    """The folder all executors see: ``spark.checkpoint.dir``; a temporary one only where it is unset on a local master, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="pershare-shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from pershare.llm.common import shared_folder
 from pershare.llm.ordered import numbered
 from pershare.llm.queries import QUERIES
 from pershare.llm.resampling import PIECE, Features, _shift_tables, appended, pieces, resample
@@ -101,3 +102,12 @@ def test_numbers_in_order(spark):
     out = numbered(rows, [F.desc("a"), F.asc("b")], "n").orderBy("n").collect()
     assert [r.n for r in out] == list(range(1, 5001))
     assert [(r.a, r.b) for r in out] == sorted(((i % 7, i) for i in range(5000)), key=lambda x: (-x[0], x[1]))
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: {"spark.master": "yarn"}.get(key, default))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session())
