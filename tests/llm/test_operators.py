@@ -193,21 +193,6 @@ def test_lm_scores(spark):
     assert all(r.score < 0 for r in got)
 
 
-def test_probabilities_after_a_context_sum_to_one():
-    data = np.frombuffer(b"the cat sat on the mat and the rat sat too. " * 20, np.uint8)
-    for order, least in ((2, 1), (5, 3)):
-        code, _ = lm_score._codes(data, np.array([0, len(data)]), order)
-        grams = []
-        for k in range(1, order + 2):
-            keys, n = np.unique(code & np.uint64((1 << 8 * k) - 1), return_counts=True)
-            grams.append((keys[n >= least], n[n >= least]))
-        trie = lm_score.Trie(order, grams)
-        for context in (b"\xff" * order, b"the cat"[-order:], b"zqzqzqz"[-order:], b" the ma"[-order:]):
-            base = int.from_bytes(context, "big") << 8
-            asked = np.array([base + s for s in range(256)], np.uint64)
-            assert abs((10 ** trie.log10(asked)).sum() - 1) < 1e-6
-
-
 def test_language(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "lang")
     model = language.fit(docs.where("doc_id % 4 <> 2"))
