@@ -226,13 +226,14 @@ def _asker(held, order: int):
             word = word_hashes(lower(data), start, end)
             part, train = rows.column("part").to_numpy(), rows.column("train").to_numpy(zero_copy_only=False)
             code, own = _codes(data, offsets, order)
-            rest = known.look(code)[1]
             counts = np.repeat(train, np.diff(before)).astype(np.int64)
-            word_part, gram_part = np.repeat(part, np.diff(before)), np.repeat(part, np.diff(own))[rest]
+            word_part, gram_part = np.repeat(part, np.diff(before)), np.repeat(part, np.diff(own))
             for g in np.unique(part):
                 at = word_part == g
                 counters.setdefault((int(g), False), _Counter()).add(word[at], counts[at])
-                counters.setdefault((int(g), True), _Counter()).add(code[rest[gram_part == g]])
+                grams = np.sort(code[gram_part == g])
+                grams = grams[np.r_[True, grams[1:] != grams[:-1]]]
+                counters.setdefault((int(g), True), _Counter()).add(grams[known.look(grams)[1]])
             if sum(c.merged for c in counters.values()) > 8 * FLUSH:
                 for key in list(counters):
                     yield _group_rows(*key, counters.pop(key))
@@ -248,6 +249,7 @@ def _group_rows(g: int, gram: bool, counter: _Counter) -> pa.RecordBatch:
 
 
 def _sorted(table: pa.Table, gram: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of one kind with their values; a group handed on in pieces may hold a key twice, with equal values."""
     at = table.column("is_gram").to_numpy() == gram
     keys, values = table.column("key").to_numpy().view(np.uint64)[at], table.column("value").to_numpy()[at]
     order = np.argsort(keys)
@@ -298,13 +300,12 @@ def score_documents(docs: DataFrame, order: int = 5, cached: int = 500_000) -> D
     known = spark.sparkContext.broadcast(vars(frequent(model, cached)))
     dealt = docs.withColumn("part", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("int")).repartition(groups, "part")
     asked = arrow_map(dealt.select("part", "text", "train"), _asker(known, order), "part int, is_gram boolean, key long, n long")
-    facts = stored(asked.selectExpr("part", "is_gram", "key", "n as own", "sum(n) over (partition by is_gram, key) as n").where("is_gram or n > 0"), "asked")
+    facts = stored(asked.selectExpr("part", "is_gram", "key", "n as own", "sum(n) over (partition by key, is_gram) as n").where("is_gram or n > 0"), "asked")
     words, grams = facts.where("not is_gram"), facts.where("is_gram").select("part", F.col("key").alias("gram"))
     seen = words.agg(F.coalesce(F.sum("own"), F.lit(0)).alias("tokens")).first()
     kinds = words.select("key").distinct().count() if seen["tokens"] else 0
     n_train = seen["tokens"] + n_docs
     values = grams.join(gram_scores(grams.select("gram").distinct(), model), "gram").select("part", F.lit(True).alias("is_gram"), F.col("gram").alias("key"), F.col("log10").alias("value"))
-    # a group that was handed on in pieces may hold a key twice
     looked_up = words.select("part", "is_gram", "key", F.col("n").cast("double").alias("value")).unionByName(values)
     scored = dealt.groupBy("part").cogroup(looked_up.groupBy("part")).applyInArrow(
         _scorer(known, order, n_train, n_docs, kinds + (n_docs > 0)),
