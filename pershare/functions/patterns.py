@@ -19,9 +19,11 @@ BASIC_SCORE, DILUTED_SCORE, UNADJUSTED_SCORE, NET_SCORE, LOSS_SCORE = 100, 50, 1
 SIMILARITY_THRESHOLD = 0.5
 DEFAULT_TIMEFRAME = 2020
 
-MISSING_MARKS = ("#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND") + (
-    "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"
-)
+# The marks that stand for a missing value.
+MISSING_MARKS = (
+    "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+    "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
 
 SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 DIGIT = r"\p{Nd}"
@@ -78,6 +80,14 @@ LONG_S = "\u017f"
 LOSS_PATTERN = any_phrase_pattern([p for p in PHRASES if p.startswith("loss")])
 GAIN_PATTERN = any_phrase_pattern([p for p in PHRASES if not p.startswith("loss")])
 
+# What a phrase of several words may have of itself in one label and of the rest in another: its first word, which must stand
+# at the start of a word, and the two that follow, which all these phrases share.
+(MIDDLE_WORD, LAST_WORD), = {tuple(p.split()[1:]) for p in PHRASES if " " in p}
+ONE_WORD_PATTERN = any_phrase_pattern([p for p in PHRASES if " " not in p])
+FIRST_PATTERNS = {w: rf"(?<!{WORD}){w}" for w in (p.split()[0] for p in PHRASES if " " in p)}
+GAAP_WORD = r"g\.?a\.?a\.?p\.?"
+LAST_PATTERN = rf"{LAST_WORD}s?(?!{WORD})"
+
 # Decimal digits of every script and, position by position, their ASCII values.
 _DIGITS = [c for c in map(chr, range(128, sys.maxunicode + 1)) if unicodedata.category(c) == "Nd"]
 FOREIGN_DIGITS = "".join(_DIGITS)

@@ -5,6 +5,9 @@ A table is walked with windows over ``(filename, table_seq)``. Where a table may
 task, ``block_rows`` cuts it into blocks of consecutive row indexes, each its own window group; what
 a block hands on to the next (the header in force and the scan direction) is worked out on one
 summary row per block and joined back per block, so no task ever sees more than a block of a table.
+
+Rows name their header by the row at which it begins. Its text is kept once, in a table of header runs, and meets the rows
+where they need it; where only what it says counts, a short text stands for it.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -12,10 +15,11 @@ from pyspark.sql import functions as F
 
 from pershare.functions import cells as cell
 from pershare.functions import columns
-from pershare.functions.labels import join_context
+from pershare.functions.labels import join_context, short_header
 from pershare.plans.shared import written_once
 
 KEYS = ["filename", "table_seq"]
+BLOCK = [*KEYS, "block"]
 BLOCK_ROWS = 65_536
 
 
@@ -100,7 +104,7 @@ def header_rows(grid: DataFrame) -> DataFrame:
 
 def year_order(grid: DataFrame, timeframe: int, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """``reverse``: from the first row with the two years ascending, scan right to left."""
-    framed = _framed(_facts(grid, timeframe), block_rows)
+    framed = _framed(_facts(grid, timeframe), block_rows, F.lit(False))
     return framed.select(*grid.columns, "reverse")
 
 
@@ -108,9 +112,9 @@ def header_groups(grid: DataFrame, block_rows: int | None = BLOCK_ROWS) -> DataF
     """``group_start``: row index at which the header group in force begins; ``header``: its text.
 
     Header rows with consecutive row indexes form one group. Rows before the first have neither.
-    On a header row the text is that of the whole group up to the end of the row's block.
+    On a header row the text is that of the whole group.
     """
-    framed = _framed(_facts(grid, None), block_rows)
+    framed = _framed(_facts(grid, None), block_rows, F.col("label").isNotNull())
     return framed.select(*grid.columns, "label", "is_header", "group_start", "header")
 
 
@@ -119,18 +123,18 @@ def row_context(
     timeframe: int,
     block_rows: int | None = BLOCK_ROWS,
     keep_all: bool = False,
+    short: bool = False,
 ) -> DataFrame:
     """Value rows with their context in lower case and their scan direction.
 
     ``block_rows=None`` is for grids whose tables are known to be short: it skips the hand-over
-    between blocks. ``keep_all`` leaves header rows and empty rows in, with a null context.
+    between blocks. ``keep_all`` leaves header rows and empty rows in, with a null context. With ``short`` the context of a
+    very long header is a short text in which the same phrases and marks are found.
     """
-    context = F.when(
-        ~F.col("is_header") & F.col("label").isNotNull(),
-        join_context(F.col("header"), F.col("label")),
-    )
+    is_value = ~F.col("is_header") & F.col("label").isNotNull()
+    context = F.when(is_value, join_context(F.col("header"), F.col("label")))
     rows = (
-        _framed(_facts(grid, timeframe), block_rows)
+        _framed(_facts(grid, timeframe), block_rows, is_value, short)
         .withColumn("context", context)
         .select(*grid.columns, "context", "reverse")
     )
@@ -156,12 +160,14 @@ def _facts(grid: DataFrame, timeframe: int | None) -> DataFrame:
     )
 
 
-def _framed(facts: DataFrame, block_rows: int | None) -> DataFrame:
-    """Add ``group_start``, ``header`` and ``reverse`` to every row."""
+def _framed(
+    facts: DataFrame, block_rows: int | None, needs_header: Column, short: bool = False
+) -> DataFrame:
+    """Add ``group_start`` and ``reverse`` to every row, and ``header`` to those that need it."""
     if block_rows is None:
-        return _within(facts, KEYS)
+        return _with_group_text(_within(facts, KEYS))
     blocked = facts.withColumn("block", _block("row_idx", block_rows))
-    return _across_blocks(_within(blocked, [*KEYS, "block"])).drop("block")
+    return _across_blocks(_within(blocked, BLOCK), needs_header, short).drop("block")
 
 
 def _within(facts: DataFrame, keys: list[str]) -> DataFrame:
@@ -172,12 +178,6 @@ def _within(facts: DataFrame, keys: list[str]) -> DataFrame:
         & (F.lag("row_idx").over(ordered) == F.col("row_idx") - 1),
         F.lit(False),
     )
-    group = (
-        Window.partitionBy(*keys, "group_start")
-        .orderBy("row_idx")
-        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    )
-    header_labels = F.collect_list(F.when(F.col("is_header"), F.col("label"))).over(group)
     return (
         facts.withColumns(
             {
@@ -186,28 +186,75 @@ def _within(facts: DataFrame, keys: list[str]) -> DataFrame:
             }
         )
         .withColumn("group_start", F.max("starts").over(so_far))
-        .withColumn(
-            "header",
-            F.when(F.col("group_start").isNotNull(), F.array_join(header_labels, " ")),
-        )
         .drop("starts")
     )
 
 
-def _across_blocks(framed: DataFrame) -> DataFrame:
-    """Complete the first rows of each block with what the blocks before it hand on.
+def _with_group_text(framed: DataFrame) -> DataFrame:
+    """The text of the group on each of its rows, in tables short enough for that."""
+    group = (
+        Window.partitionBy(*KEYS, "group_start")
+        .orderBy("row_idx")
+        .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    )
+    header_labels = F.collect_list(F.when(F.col("is_header"), F.col("label"))).over(group)
+    text = F.when(F.col("group_start").isNotNull(), F.array_join(header_labels, " "))
+    return framed.withColumn("header", text)
+
 
-    The rows are walked once and written; the summary of the blocks reads a few columns of that, and so do the rows it is
-    joined to. Tables of a single block hand nothing on, so they have no row in the summary.
+def _across_blocks(framed: DataFrame, needs_header: Column, short: bool) -> DataFrame:
+    """Complete the first rows of each block with what the blocks before it hand on, and look up headers.
+
+    The rows are walked once and written. ``runs`` has a row for each group in a block; all that is handed on are row
+    indexes. Each text is put together once, from its parts by block, and copied to the blocks with rows that need it.
     """
-    framed = written_once(framed, "framed")
-    last_groups = (
-        framed.groupBy(*KEYS, "block")
+    framed = written_once(framed, "framed").withColumn("run", F.coalesce("group_start", F.lit(-1)))
+    parts = F.sort_array(F.collect_list(F.when(F.col("is_header"), F.struct("row_idx", "label"))))
+    text = F.array_join(F.transform(parts, lambda p: p.label), " ")
+    runs = framed.groupBy(*BLOCK, "run").agg(
+        F.max(F.when(F.col("is_header"), F.col("row_idx"))).alias("end"),
+        F.bool_or("years_ascend").alias("ascend"),
+        F.bool_or(needs_header).alias("needed"),
+        (short_header(text) if short else text).alias("part"),
+    )
+    runs = (
+        runs.join(_handed_on(runs), BLOCK, "left")
+        .withColumn(
+            "group_start",
+            F.when((F.col("run") == -1) | (F.col("run") == F.col("open_end") + 1), F.col("open_start"))
+            .otherwise(F.nullif("run", F.lit(-1))),
+        )
+        .drop("open_start", "open_end")
+    )
+    whole = F.sort_array(F.collect_list(F.struct("block", "part")))
+    joined = F.array_join(F.transform(whole, lambda p: p.part), " ")
+    texts = (
+        runs.filter(F.col("end").isNotNull())
+        .groupBy(*KEYS, "group_start")
+        .agg((short_header(joined) if short else joined).alias("header"))
+    )
+    by_run = (
+        runs.join(texts, [*KEYS, "group_start"], "left")
+        .withColumn("header", F.when(F.col("needed"), F.col("header")))
+        .select(*BLOCK, "run", "group_start", "header", "open_ascend")
+    )
+    return (
+        framed.drop("group_start")
+        .join(by_run, [*BLOCK, "run"], "left")
+        .withColumn("reverse", F.col("reverse") | F.coalesce("open_ascend", F.lit(False)))
+        .drop("run", "open_ascend")
+    )
+
+
+def _handed_on(runs: DataFrame) -> DataFrame:
+    """For each block that is not the first of its table: the header run open at its start, by the rows at which it begins
+    and ends, and whether the scan is reversed by then. Tables of a single block hand nothing on."""
+    last_runs = (
+        runs.groupBy(*BLOCK)
         .agg(
-            F.max("group_start").alias("start"),
-            F.max(F.when(F.col("is_header"), F.col("row_idx"))).alias("end"),
-            F.max_by("header", "group_start").alias("text"),
-            F.bool_or("years_ascend").alias("ascend"),
+            F.max(F.nullif("run", F.lit(-1))).alias("start"),
+            F.max("end").alias("end"),
+            F.bool_or("ascend").alias("ascend"),
         )
         .withColumn("last_block", F.max("block").over(Window.partitionBy(*KEYS)))
         .filter(F.col("last_block") > 0)
@@ -215,49 +262,19 @@ def _across_blocks(framed: DataFrame) -> DataFrame:
     )
     by_block = Window.partitionBy(*KEYS).orderBy("block")
     so_far = by_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    chained = Window.partitionBy(*KEYS, "chain").orderBy("block").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
     continues = F.coalesce(F.col("start") == F.lag("end").over(by_block) + 1, F.lit(False))
-    handed_on = (
-        last_groups.withColumn(
-            "opens", F.when(F.col("start").isNotNull() & ~continues, 1).otherwise(0)
-        )
-        .withColumn("chain", F.sum("opens").over(so_far))
+    return (
+        last_runs.withColumn("opens", F.when(F.col("start").isNotNull() & ~continues, F.col("start")))
         .withColumns(
             {
-                "open_text": F.array_join(F.collect_list("text").over(chained), " "),
-                "open_start": F.min("start").over(chained),
-                "open_end": F.max("end").over(chained),
+                "open_start": F.last("opens", ignorenulls=True).over(so_far),
+                "open_end": F.last("end", ignorenulls=True).over(so_far),
                 "open_ascend": F.max("ascend").over(so_far),
             }
         )
         .select(
-            *KEYS,
-            "block",
-            *(
-                F.lag(name).over(by_block).alias(name)
-                for name in ("open_text", "open_start", "open_end", "open_ascend")
-            ),
+            *BLOCK,
+            *(F.lag(name).over(by_block).alias(name) for name in ("open_start", "open_end", "open_ascend")),
         )
         .filter(F.col("open_start").isNotNull() | F.col("open_ascend"))
     )
-    before_first = F.col("group_start").isNull()
-    prolongs = F.col("group_start") == F.col("open_end") + 1
-    return (
-        framed.join(handed_on, [*KEYS, "block"], "left")
-        .withColumns(
-            {
-                "header": F.when(
-                    before_first & F.col("open_start").isNotNull(), F.col("open_text")
-                )
-                .when(prolongs, F.concat_ws(" ", "open_text", "header"))
-                .otherwise(F.col("header")),
-                "group_start": F.when(before_first | prolongs, F.col("open_start")).otherwise(
-                    F.col("group_start")
-                ),
-                "reverse": F.col("reverse") | F.coalesce("open_ascend", F.lit(False)),
-            }
-        )
-        .drop("open_text", "open_start", "open_end", "open_ascend")
-    )

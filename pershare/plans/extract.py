@@ -114,7 +114,7 @@ def eps_from_grid(
         cleaned = grid.retype_columns(cleaned, block_rows or grid.BLOCK_ROWS)
     return (
         cleaned
-        .transform(grid.row_context, timeframe, block_rows, keep_all=True)
+        .transform(grid.row_context, timeframe, block_rows, keep_all=True, short=True)
         .withColumn("value", F.when(labels.mentions_eps(context), value))
         .withColumn("score", _score(context, F.col("value")))
         .groupBy("filename")
