@@ -51,8 +51,10 @@ _MARKUP = re.compile(
 _COLSPAN = re.compile(r"(?<![\w-])colspan\s*=\s*[\"']?\s*(\d+)", re.IGNORECASE)
 _ROWSPAN = re.compile(r"(?<![\w-])rowspan\s*=\s*[\"']?\s*(\d+)", re.IGNORECASE)
 _LINE_SPACE = re.compile(r"\s{2,}|[\r\n]")
-# Limits set by the HTML standard.
-_MAX_COLSPAN, _MAX_ROWSPAN = 1000, 65534
+# A span as long as any table.
+_ENDLESS = 10**18
+# Columns kept of a stretch in which no cell of the table begins; more of them would say nothing.
+_LONGEST_STRETCH = 1000
 
 # Tags that shape a table, and tags that end a run of text.
 _TABLE_TAGS = frozenset("td th tr thead tbody tfoot".split())
@@ -70,23 +72,24 @@ _TABLE_NAMES = frozenset(
 
 
 class _Grid:
-    """Rows of the outermost table being read."""
+    """Rows of the table being read, each as runs: a number of slots and the text in all of them."""
 
     def __init__(self, fill_spans: bool):
         self.fill_spans = fill_spans
-        self.rows: list[tuple[bool, list[str]]] = []
+        self.rows: list[tuple[bool, list[tuple[int, str]]]] = []
         self.in_head = self.saw_head = False
         self.row = None
         self.cell = None
-        self.spans: dict[int, tuple[int, str]] = {}
+        # first slot, slot after the last, rows still to come and text of the cells that reach down, from left to right
+        self.spans: list[tuple[int, int, int, str]] = []
 
     def on_tag(self, name: str, closing: bool, attrs: str):
         if name in ("td", "th"):
             self.close_cell()
             if not closing:
                 self.row = self.row if self.row is not None else []
-                cols = _span(_COLSPAN, attrs, _MAX_COLSPAN)
-                rows = _span(_ROWSPAN, attrs, _MAX_ROWSPAN)
+                cols = _span(_COLSPAN, attrs, 1)
+                rows = _span(_ROWSPAN, attrs, _ENDLESS)
                 self.cell = (name, cols, rows, [])
             return
         self.close_row()
@@ -111,25 +114,33 @@ class _Grid:
             self.rows.append((is_head, self._unmerge()))
         self.row = None
 
-    def _unmerge(self) -> list[str]:
+    def _unmerge(self) -> list[tuple[int, str]]:
         """The row with spanned slots filled in, from cells above and to the left."""
-        out: list[str] = []
-        spans: dict[int, tuple[int, str]] = {}
+        out: list[tuple[int, str]] = []
+        spans: list[tuple[int, int, int, str]] = []
+        above = iter(self.spans)
+        place, from_above = 0, next(above, None)
 
         def take_spans_from_above():
-            while len(out) in self.spans:
-                left, text = self.spans[len(out)]
-                if left > 1:
-                    spans[len(out)] = (left - 1, text)
-                out.append(text)
+            nonlocal place, from_above
+            while from_above is not None and from_above[0] <= place:
+                _, end, left, text = from_above
+                if end > place:
+                    if left > 1:
+                        spans.append((place, end, left - 1, text))
+                    out.append((end - place, text))
+                    place = end
+                from_above = next(above, None)
 
         for _, cols, rows, text in self.row:
             take_spans_from_above()
             again = text if self.fill_spans else ""
-            for slot in range(cols):
-                if rows > 1:
-                    spans[len(out)] = (rows - 1, again)
-                out.append(again if slot else text)
+            if rows > 1:
+                spans.append((place, place + cols, rows - 1, again))
+            out.append((1, text))
+            if cols > 1:
+                out.append((cols - 1, again))
+            place += cols
         take_spans_from_above()
         self.spans = spans
         return out
@@ -137,21 +148,48 @@ class _Grid:
     def finish(self):
         """Column labels, body rows of equal width, and the number of rows in the markup."""
         self.close_row()
-        width = max((len(cells) for _, cells in self.rows), default=0)
-        padded = [(head, cells + [""] * (width - len(cells))) for head, cells in self.rows]
+        # runs of one slot each need no counting of columns
+        if any(slots > 1 for _, runs in self.rows for slots, _ in runs):
+            column = _columns([runs for _, runs in self.rows])
+            rows = [(head, _expanded(runs, column)) for head, runs in self.rows]
+        else:
+            rows = [(head, [text for _, text in runs]) for head, runs in self.rows]
+        width = max((len(cells) for _, cells in rows), default=0)
+        padded = [(head, cells + [""] * (width - len(cells))) for head, cells in rows]
         head = [cells for is_head, cells in padded if is_head]
         labels = [" ".join(filter(None, column)) for column in zip(*head)]
         return labels, [cells for is_head, cells in padded if not is_head], len(padded)
 
 
-def _span(pattern: re.Pattern, attrs: str, limit: int) -> int:
+def _columns(rows: list[list[tuple[int, str]]]) -> dict[int, int]:
+    """The column kept for each slot at which a run of some row begins or ends."""
+    edges = {0}
+    for runs in rows:
+        edges.update(itertools.accumulate(slots for slots, _ in runs))
+    column, last, kept = {}, 0, 0
+    for edge in sorted(edges):
+        kept += min(edge - last, _LONGEST_STRETCH)
+        column[edge], last = kept, edge
+    return column
+
+
+def _expanded(runs: list[tuple[int, str]], column: dict[int, int]) -> list[str]:
+    """A text for each column kept."""
+    cells: list[str] = []
+    place = 0
+    for slots, text in runs:
+        cells.extend([text] * (column[place + slots] - column[place]))
+        place += slots
+    return cells
+
+
+def _span(pattern: re.Pattern, attrs: str, of_zero: int) -> int:
+    """The number of slots; a span of zero rows reaches to the end of the table."""
     found = pattern.search(attrs) if "span" in attrs.lower() else None
     if not found:
         return 1
     digits = found[1].lstrip("0")
-    if not digits:  # rowspan=0 reaches to the end of the section
-        return limit if pattern is _ROWSPAN else 1
-    return min(int(digits), limit) if len(digits) < 10 else limit
+    return of_zero if not digits else int(digits) if len(digits) < 19 else _ENDLESS
 
 
 def _cell_text(raw: str) -> str:

@@ -26,7 +26,7 @@ def test_short_header_says_the_same(spark):
     rng = random.Random(3)
     texts = lambda: " ".join(rng.choice(WORDS) for _ in range(rng.randrange(0, 7)))
     padded = lambda: (lambda t: t.replace(" ", f" {LONG} ", 1) if " " in t else t)(texts())
-    rows = [(padded(), padded(), texts()) for _ in range(4000)]
+    rows = [(padded(), padded(), texts()) for _ in range(1500)]
     df = spark.createDataFrame(rows, "a string, b string, label string")
     whole = labels.join_context(F.concat_ws(" ", "a", "b"), F.col("label"))
     once = labels.short_header(F.concat_ws(" ", "a", "b"))
@@ -37,7 +37,7 @@ def test_short_header_says_the_same(spark):
         found(labels.join_context(parts, F.col("label"))).alias("parts"),
         F.length(once).alias("length"),
     ).collect()
-    assert sum(r.want.f0 for r in said) > 500 and sum(r.length < len(r.a) for r in said) > 1000
+    assert sum(r.want.f0 for r in said) > 200 and sum(r.length < len(r.a) for r in said) > 400
     for r in said:
         assert r.want == r.once, (r.a, r.b, r.label)
         assert r.want == r.parts, (r.a, r.b, r.label)
