@@ -258,6 +258,13 @@ def news_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rejected_numbers(html: Column, k: Column) -> Column:
+    """News with numbers that cannot be read: a dash parted from its number in a table, a point behind one in a sentence."""
+    row = F.replace(html, F.lit("<tr><td>End"), F.lit("<tr><td>Basic EPS<td>- 0.05<tr><td>End"))
+    said = F.concat(F.lit("<p>Diluted EPS came to $"), (k % 9).cast("string"), F.lit(".25.</p>"))
+    return F.concat(row, F.when(k % 7 == 0, said).otherwise(""))
+
+
 def spoilt(html: Column, n: Column) -> Column:
     """The bytes of a filing, for every eleventh ``n`` not all UTF-8; null for every thirteenth."""
     broken = F.concat(F.encode(html, "utf-8"), F.unhex(F.lit("C328FF")))

@@ -280,6 +280,11 @@ ORACLES = {
           case when c % 13 = 0 or c % 11 = 0 then 'undecodable' when value is null then 'none'
                else 'table' end as status
         from valued""",
+    "eps_audit": f"""{NEWS}
+        select 'news-' || k || '.html' as filename, round(coalesce(by_table, by_text, 0.0), 4) + 0.0 as EPS,
+          cast(k % 4 = 0 as bigint) as n_unreadable,
+          cast(by_table is null and k % 7 = 0 as bigint) as n_unreadable_text
+        from news""",
     "eps_same_names": f"""{NEWS}
         select filename, case when readable then round(coalesce(by_table, by_text, 0.0), 4) + 0.0 end as EPS,
           case when not readable then 'undecodable' when by_table is not null then 'table'

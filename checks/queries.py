@@ -71,6 +71,14 @@ def eps_with_text(spark, sf_dir):
     return shown(extract_eps(news, TIMEFRAME, inputs.near_first_encoder), "filename", "EPS")
 
 
+def eps_audit(spark, sf_dir):
+    """Numbers that could not be read, by filing, from tables and from text."""
+    order = F.regexp_extract("filename", r"\d+", 0).cast("long")
+    news = inputs.news_filings(spark, sf_dir).withColumn("html", inputs.rejected_numbers(F.col("html"), order))
+    found = extract_eps(news, TIMEFRAME, inputs.near_first_encoder, audit=True)
+    return shown(found, "filename", "EPS", "n_unreadable", "n_unreadable_text")
+
+
 def eps_status(spark, sf_dir):
     """Every filing once, bytes that are no UTF-8 included."""
     pages = inputs.documents(spark, sf_dir)
@@ -358,7 +366,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         eps_final, eps_from_html, eps_with_text, grid_from_html, table_elements,
-        nested_grid, eps_from_layout, eps_status, eps_same_names, eps_same_names_tables,
+        nested_grid, eps_from_layout, eps_audit, eps_status, eps_same_names, eps_same_names_tables,
         page_text_elements, clean_cells, drop_empty_rows, drop_empty_columns, column_types,
         retyped_columns, eps_typed_columns, eps_typed_html, row_labels,
         header_rows, year_order, header_groups, row_context, long_table_context, eps_rows,

@@ -88,8 +88,8 @@ class _Grid:
             self.close_cell()
             if not closing:
                 self.row = self.row if self.row is not None else []
-                cols = _span(_COLSPAN, attrs, 1)
-                rows = _span(_ROWSPAN, attrs, _ENDLESS)
+                cols = _span(_COLSPAN, attrs)
+                rows = _span(_ROWSPAN, attrs)
                 self.cell = (name, cols, rows, [])
             return
         self.close_row()
@@ -183,13 +183,14 @@ def _expanded(runs: list[tuple[int, str]], column: dict[int, int]) -> list[str]:
     return cells
 
 
-def _span(pattern: re.Pattern, attrs: str, of_zero: int) -> int:
-    """The number of slots; a span of zero rows reaches to the end of the table."""
+def _span(pattern: re.Pattern, attrs: str, limit: int = _ENDLESS) -> int:
     found = pattern.search(attrs) if "span" in attrs.lower() else None
     if not found:
         return 1
     digits = found[1].lstrip("0")
-    return of_zero if not digits else int(digits) if len(digits) < 19 else _ENDLESS
+    if not digits:  # rowspan=0 reaches to the end of the section
+        return limit if pattern is _ROWSPAN else 1
+    return min(int(digits), limit) if len(digits) < 19 else limit
 
 
 def _cell_text(raw: str) -> str:

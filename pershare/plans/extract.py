@@ -29,7 +29,8 @@ def extract_eps(
     From tables alone the plan is one narrow stage: scan, HTML, array expressions. With an encoder,
     filings without a table candidate fall back on their text; only sentences that name the phrase
     and hold a dollar sign are encoded, and one aggregate per filing follows. ``audit`` adds
-    ``n_unreadable``, the number of matching rows whose number could not be read, for tables only.
+    ``n_unreadable``, the number of matching rows whose number could not be read, and with an encoder
+    ``n_unreadable_text``, that of sentences and phrases whose nearest number could not be read, in filings whose text counts.
     ``typed_columns`` reads tables with a type for each column, so that whole numbers among decimals or gaps are values;
     ``nested_tables`` reads tables within cells as tables of their own, for filings laid out by tables.
 
@@ -47,7 +48,7 @@ def extract_eps(
         extra = [sections.count_unreadable(F.col("candidates")).alias("n_unreadable")]
         return found.select(*_results(found, status), *(extra if audit else []))
     return _with_text_fallback(
-        filings, timeframe, make_encoder, force_loss_negative, typed_columns, nested_tables, status
+        filings, timeframe, make_encoder, force_loss_negative, typed_columns, nested_tables, status, audit
     )
 
 
@@ -124,7 +125,7 @@ def eps_from_grid(
 
 
 def _with_text_fallback(
-    filings, timeframe, make_encoder, force_loss_negative, typed_columns, nested_tables, status
+    filings, timeframe, make_encoder, force_loss_negative, typed_columns, nested_tables, status, audit
 ) -> DataFrame:
     """One pass over the filings: a row for each filing, with its table value, and one more for
     each sentence to encode. A single aggregate brings them together again, so neither the HTML
@@ -139,14 +140,17 @@ def _with_text_fallback(
         ).alias("parsed"),
     )
     kept = [c for c in parsed.columns if c != "parsed"]
+    from_tables = {"table_value": sections.best_value(F.col("candidates"))}
+    if audit:
+        from_tables["n_unreadable"] = sections.count_unreadable(F.col("candidates"))
     rows = (
         parsed.withColumn("sentences", _sentences_to_encode(F.col("parsed")))
         .transform(
             sections.with_candidates, timeframe, force_loss_negative, typed_columns=typed_columns
         )
-        .withColumn("table_value", sections.best_value(F.col("candidates")))
-        .select(*kept, "table_value", F.explode(_filing_and_sentences()).alias("s"))
-        .select(*kept, "table_value", "s.*")
+        .withColumns(from_tables)
+        .select(*kept, *from_tables, F.explode(_filing_and_sentences()).alias("s"))
+        .select(*kept, *from_tables, "s.*")
     )
     nearest = text.nearest_number(F.col("tokens"), F.col("phrase"))
     found = (
@@ -157,11 +161,14 @@ def _with_text_fallback(
         .withColumn("score", _score(F.col("sentence"), F.col("value")))
         .groupBy(*kept)
         .agg(
-            F.max("table_value").alias("table_value"),
+            *(F.max(name).alias(name) for name in from_tables),
             _best(rank.TEXT_ORDER).alias("text_value"),
+            F.count_if(F.col("num").isNotNull() & F.col("value").isNull()).alias("n_unreadable_text"),
         )
     )
-    return found.select(*_results(found, status))
+    return found.select(
+        *_results(found, status), *(["n_unreadable", "n_unreadable_text"] if audit else [])
+    )
 
 
 def _sentences_to_encode(elements: Column) -> Column:

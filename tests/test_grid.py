@@ -53,3 +53,21 @@ def test_rejected_numbers_are_counted(spark):
     )
     rows = extract_eps(filings, audit=True).collect()
     assert {(r.filename, r.EPS, r.n_unreadable) for r in rows} == {("a", 0.1, 1), ("b", 0.1, 0)}
+
+
+def test_rejected_numbers_are_counted_with_an_encoder(spark):
+    from checks.inputs import near_first_encoder
+
+    bad = to_html(["Basic EPS/- 0.05", "x/1"])
+    pages = {
+        "a": bad + "<p>Our EPS was $0.25. The EPS of $ 3.50 rose</p>",
+        "b": to_html(["Basic EPS/- 0.05", "EPS/0.10"]) + "<p>Our EPS was $0.25.</p>",
+        "c": "<p>Our EPS was $0.25.</p>",
+        "d": "<p>nothing</p>",
+    }
+    filings = spark.createDataFrame(list(pages.items()), "filename string, html string")
+    rows = extract_eps(filings, make_encoder=near_first_encoder, audit=True).collect()
+    assert {(r.filename, r.EPS, r.n_unreadable, r.n_unreadable_text) for r in rows} == {
+        ("a", 3.5, 1, 1), ("b", 0.1, 1, 0), ("c", 0.0, 0, 1), ("d", 0.0, 0, 0),
+    }
+    assert "n_unreadable" not in extract_eps(filings, make_encoder=near_first_encoder).columns
