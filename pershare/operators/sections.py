@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pershare.functions import cells as cell
 from pershare.functions import columns, labels
 from pershare.functions.patterns import EPS_FRAGMENT
+from pershare.functions.vectors import let
 from pershare.operators.elements import ROW_THRESHOLD
 
 
@@ -22,17 +23,19 @@ def with_candidates(
     force_loss_negative: bool = False,
     typed_cells: bool = True,
     typed_columns: bool = False,
+    short: bool = False,
 ) -> DataFrame:
     """Replace ``parsed`` (elements of a filing) by ``candidates``, in document order.
 
     ``value`` is null where the number could not be read. ``typed_columns`` types whole columns of a table, not only cells.
+    With ``short`` the context of a very long header is a short text in which the same phrases and marks are found.
     """
     return (
         parsed.withColumn("tables", _tables(F.col("parsed"), timeframe, typed_cells, typed_columns))
         .drop("parsed")
         .withColumn("tables", F.filter("tables", _may_match))
         .withColumn("tables", F.transform("tables", _cut_into_sections))
-        .withColumn("rows", F.flatten(F.transform("tables", _value_rows)))
+        .withColumn("rows", F.flatten(F.transform("tables", lambda t: _value_rows(t, short))))
         .drop("tables")
         .withColumn("rows", F.filter("rows", _matches))
         .withColumn("rows", F.transform("rows", lambda r: _candidate(r, force_loss_negative)))
@@ -110,15 +113,16 @@ def _cut_into_sections(table: Column) -> Column:
     )
 
 
-def _value_rows(table: Column) -> Column:
+def _value_rows(table: Column, short: bool) -> Column:
     """Rows below the header of each section, with that header."""
 
     def section(start: Column, k: Column) -> Column:
         end = F.coalesce(F.get(table.starts, k + 1), F.size(table.rows))
         rows = F.slice(table.rows, start + 1, end - start)
-        header = F.transform(F.filter(rows, lambda r: r.is_header), lambda r: r.label)
+        header = F.array_join(F.transform(F.filter(rows, lambda r: r.is_header), lambda r: r.label), " ")
+        wanted = lambda text: labels.short_header(text) if short else text
         return F.struct(
-            F.nullif(F.array_join(header, " "), F.lit("")).alias("header"),
+            let(header, lambda text: F.when(text != "", wanted(text))).alias("header"),
             F.filter(rows, lambda r: ~r.is_header).alias("rows"),
         )
 

@@ -23,6 +23,7 @@ def extract_eps(
     typed_columns: bool = False,
     nested_tables: bool = False,
     status: bool = False,
+    long_headers: bool = False,
 ) -> DataFrame:
     """``filename`` and ``EPS`` for every readable filing; 0 where none is found.
 
@@ -32,7 +33,9 @@ def extract_eps(
     ``n_unreadable``, the number of matching rows whose number could not be read, and with an encoder
     ``n_unreadable_text``, that of sentences and phrases whose nearest number could not be read, in filings whose text counts.
     ``typed_columns`` reads tables with a type for each column, so that whole numbers among decimals or gaps are values;
-    ``nested_tables`` reads tables within cells as tables of their own, for filings laid out by tables.
+    ``nested_tables`` reads tables within cells as tables of their own, for filings laid out by tables. ``long_headers`` is for
+    filings with thousands of headers in a row above thousands of values: a short text stands for each long header, which gives
+    the same values in linear time for some seconds more of planning.
 
     ``status`` gives every filing a row, from the same scan, with ``filing_id`` if the filings have one: ``table`` or ``text``
     where the value was found, ``none`` where it is 0 for want of any, ``undecodable`` with no value for bytes that are no UTF-8.
@@ -42,13 +45,14 @@ def extract_eps(
         filings = decodable(filings)
     if make_encoder is None:
         found = filing_candidates(
-            filings, timeframe, force_loss_negative, typed_columns, nested_tables
+            filings, timeframe, force_loss_negative, typed_columns, nested_tables, short=long_headers
         )
         found = found.withColumn("table_value", sections.best_value(F.col("candidates")))
         extra = [sections.count_unreadable(F.col("candidates")).alias("n_unreadable")]
         return found.select(*_results(found, status), *(extra if audit else []))
     return _with_text_fallback(
-        filings, timeframe, make_encoder, force_loss_negative, typed_columns, nested_tables, status, audit
+        filings, timeframe, make_encoder, force_loss_negative, typed_columns, nested_tables, status, audit,
+        long_headers,
     )
 
 
@@ -80,8 +84,11 @@ def filing_candidates(
     force_loss_negative: bool = False,
     typed_columns: bool = False,
     nested_tables: bool = False,
+    short: bool = False,
 ) -> DataFrame:
-    """``filename``, ``candidates``, the array of table candidates in document order, and ``readable``, false for bytes that are no UTF-8."""
+    """``filename``, ``candidates``, the array of table candidates in document order, and ``readable``, false for bytes that are no UTF-8.
+
+    With ``short`` the context of a candidate below a very long header is a short text in its place."""
     html = F.col("html")
     parsed = filings.select(
         *_filing_columns(filings),
@@ -90,7 +97,7 @@ def filing_candidates(
         ).alias("parsed"),
     )
     return sections.with_candidates(
-        parsed, timeframe, force_loss_negative, typed_columns=typed_columns
+        parsed, timeframe, force_loss_negative, typed_columns=typed_columns, short=short
     )
 
 
@@ -125,7 +132,8 @@ def eps_from_grid(
 
 
 def _with_text_fallback(
-    filings, timeframe, make_encoder, force_loss_negative, typed_columns, nested_tables, status, audit
+    filings, timeframe, make_encoder, force_loss_negative, typed_columns, nested_tables, status, audit,
+    long_headers,
 ) -> DataFrame:
     """One pass over the filings: a row for each filing, with its table value, and one more for
     each sentence to encode. A single aggregate brings them together again, so neither the HTML
@@ -146,7 +154,11 @@ def _with_text_fallback(
     rows = (
         parsed.withColumn("sentences", _sentences_to_encode(F.col("parsed")))
         .transform(
-            sections.with_candidates, timeframe, force_loss_negative, typed_columns=typed_columns
+            sections.with_candidates,
+            timeframe,
+            force_loss_negative,
+            typed_columns=typed_columns,
+            short=long_headers,
         )
         .withColumns(from_tables)
         .select(*kept, *from_tables, F.explode(_filing_and_sentences()).alias("s"))

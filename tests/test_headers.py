@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import GRID_SCHEMA
-from pershare import eps_from_grid
+from pershare import eps_from_grid, extract_eps
 from pershare.functions import labels
 from pershare.operators import grid
 
@@ -79,3 +79,17 @@ def test_header_text_of_runs_across_blocks(spark):
     assert len(whole) == len(rows)
     for block_rows in (1, 7, 50, 1000):
         assert texts(block_rows) == whole
+
+
+def test_long_headers_of_a_filing(spark):
+    heads = lambda n: "".join(f"<tr><td>Net loss of the year {i}" for i in range(n))
+    values = lambda n: "".join(f"<tr><td>per share<td>{i}.5" for i in range(n))
+    pages = {f"p{n}": f"<table>{heads(n)}{values(n)}</table>" for n in (1, 20, 100)} | {"none": "<table><tr><td>a<tr><td>EPS<td>2.5</table>"}
+    filings = spark.createDataFrame(list(pages.items()), "filename string, html string")
+    plain = set(map(tuple, extract_eps(filings).collect()))
+    assert set(map(tuple, extract_eps(filings, long_headers=True).collect())) == plain
+    assert dict(plain) == {"p1": 0.5, "p20": 0.5, "p100": 0.5, "none": 2.5}
+    long = filings.limit(0).union(spark.createDataFrame([("long", f"<table>{heads(4000)}{values(4000)}</table>")], filings.schema))
+    start = time.monotonic()
+    assert extract_eps(long, long_headers=True).first().EPS == 0.5
+    assert time.monotonic() - start < 60
