@@ -35,7 +35,7 @@ def extract_eps(
     ``typed_columns`` reads tables with a type for each column, so that whole numbers among decimals or gaps are values;
     ``nested_tables`` reads tables within cells as tables of their own, for filings laid out by tables. ``long_headers`` is for
     filings with thousands of headers in a row above thousands of values: a short text stands for each long header, which gives
-    the same values in linear time for some seconds more of planning.
+    the same values in linear time by a larger plan.
 
     ``status`` gives every filing a row, from the same scan, with ``filing_id`` if the filings have one: ``table`` or ``text``
     where the value was found, ``none`` where it is 0 for want of any, ``undecodable`` with no value for bytes that are no UTF-8.
