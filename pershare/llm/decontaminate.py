@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, bytes_of, chunks, free_name, prefix_hashes, row_keys, span_hash
+from .common import arrow_map, bytes_of, chunks, free_name, prefix_hashes, released, row_keys, span_hash
 
 WINDOW = 80
 #: Bytes from one pattern of a text to the next.
@@ -34,6 +34,8 @@ EDITS = 0.08
 #: Bytes of benchmark text that tasks hold at once.
 BLOCK_BYTES = 4 << 20
 TABLE_BITS = 23
+#: Bytes of document text that are searched at once: each takes some 60 bytes of arrays.
+STEP_BYTES = 1 << 19
 #: Bands aligned at once.
 SLICE = 4096
 
@@ -145,18 +147,23 @@ class Patterns:
         return most, ends
 
 
+def _passages(patterns: Patterns, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, pattern, edits, end) of the patterns found in folded texts."""
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    own, pattern, diagonal, width = patterns.bands(data, text)
+    if not len(own):
+        return own, pattern, own, own
+    edits, end = patterns.aligned(data, offsets[own], offsets[own + 1], pattern, diagonal, width)
+    good = edits <= patterns.edits[pattern]
+    return own[good], pattern[good], edits[good], end[good]
+
+
 def _finder(held):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         patterns = Patterns(*held.value)
-        for rows, data, offsets in chunks(batches):
-            data, offsets, origin = folded(data, offsets)
-            text = np.repeat(np.arange(rows.num_rows), np.diff(offsets))
-            own, pattern, diagonal, width = patterns.bands(data, text)
-            if not len(own):
-                continue
-            edits, end = patterns.aligned(data, offsets[own], offsets[own + 1], pattern, diagonal, width)
-            good = edits <= patterns.edits[pattern]
-            own, pattern, edits, end = own[good], pattern[good], edits[good], end[good]
+        for rows, data, offsets in chunks(batches, size=STEP_BYTES):
+            data, offsets, _ = folded(data, offsets)
+            own, pattern, edits, end = _passages(patterns, data, offsets)
             if not len(own):
                 continue
             found: dict = {}
@@ -173,25 +180,56 @@ def _finder(held):
     return find
 
 
-def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """Documents with benchmark passages: doc_id, r1 and r2 (row key), item_id, n_windows found, fewest edits, and the region in the folded text (first, last)."""
-    spark = docs.sparkSession
+def _marked(held):
+    """Whether texts hold a passage, as a function on columns."""
+
+    @F.arrow_udf("boolean")
+    def marked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        patterns = Patterns(*held.value)
+        for batch in released(batches):
+            bad = np.zeros(len(batch), bool)
+            first = 0
+            for rows, data, offsets in chunks(iter([pa.RecordBatch.from_arrays([batch], ["text"])]), size=STEP_BYTES):
+                data, offsets, _ = folded(data, offsets)
+                bad[first + _passages(patterns, data, offsets)[0]] = True
+                first += rows.num_rows
+            yield pa.array(bad)
+
+    return marked
+
+
+def _blocks(benchmark: DataFrame) -> Iterator:
+    """The benchmark's texts with their ids, in blocks of bounded size, each sent to all tasks."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n_blocks = max(1, -(-2 * total // BLOCK_BYTES))
-    k1, k2 = row_keys("doc_id", "text")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), k1.alias("r1"), k2.alias("r2"), "text")
-    found = []
     for block in range(n_blocks):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks)) == block).orderBy("item_id", "text").collect()
-        held = spark.sparkContext.broadcast(([r["item_id"] for r in own], [r["text"] for r in own]))
-        found.append(arrow_map(texts, _finder(held), "doc_id long, r1 long, r2 long, item_id long, n_windows long, edits long, first long, last long"))
-    return reduce(DataFrame.unionByName, found)
+        yield benchmark.sparkSession.sparkContext.broadcast(([r["item_id"] for r in own], [r["text"] for r in own]))
+
+
+def _found(docs: DataFrame, blocks: list) -> DataFrame:
+    k1, k2 = row_keys("doc_id", "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), k1.alias("r1"), k2.alias("r2"), "text")
+    schema = "doc_id long, r1 long, r2 long, item_id long, n_windows long, edits long, first long, last long"
+    return reduce(DataFrame.unionByName, (arrow_map(texts, _finder(held), schema) for held in blocks))
+
+
+def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Documents with benchmark passages: doc_id, r1 and r2 (row key), item_id, n_windows found, fewest edits, and the region in the folded text (first, last)."""
+    return _found(docs, list(_blocks(benchmark)))
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without those that hold a benchmark passage."""
+    """``docs`` without those that hold a benchmark passage.
+
+    With one block of benchmark texts rows are marked where they are read, and no text is shuffled. With more, what is found with each
+    block is gathered by row key, so that no task holds more than a block.
+    """
+    blocks = list(_blocks(benchmark))
+    if len(blocks) == 1:
+        return docs.where(~_marked(blocks[0])(F.col("text")))
     k1, k2 = row_keys("doc_id", "text")
     r1, r2 = free_name(docs, "r1"), free_name(docs, "r2")
-    bad = contaminations(docs, benchmark).select("r1", "r2").distinct().toDF(r1, r2)
+    bad = _found(docs, blocks).select("r1", "r2").distinct().toDF(r1, r2)
     return docs.withColumns({r1: k1, r2: k2}).join(bad, [r1, r2], "left_anti").drop(r1, r2)

@@ -53,7 +53,7 @@ COLUMNS = 1 << 13
 #: Words of 64 places each that hold the parities of a set.
 PARITIES = ("p0", "p1", "p2", "p3")
 #: Entries gathered before they are handed on, by bucket.
-FLUSH = 2_000_000
+FLUSH = 500_000
 ENTRY = np.dtype([("token", "<u4"), ("rest", "<u4"), ("n", "<u4"), ("sid", "<i8")])
 
 
