@@ -21,6 +21,8 @@ from pershare.plans.shared import written_once
 KEYS = ["filename", "table_seq"]
 BLOCK = [*KEYS, "block"]
 BLOCK_ROWS = 65_536
+#: Columns whose bits are in one long.
+WORD_BITS = 64
 
 
 def clean_cells(grid: DataFrame) -> DataFrame:
@@ -35,33 +37,58 @@ def drop_empty_rows(grid: DataFrame) -> DataFrame:
 def drop_empty_columns(grid: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Keep the columns of a table that hold text in at least one of its rows.
 
-    Each input row gives at most its width in column numbers, which are combined before the
-    shuffle. The columns to keep are copied once per block of rows before they are joined back.
+    A row gives a word of bits for every ``WORD_BITS`` of its columns, which are joined before the shuffle. The words of a
+    table are copied once per block of rows before they are joined back.
     """
     used = (
-        grid.select(*KEYS, "row_idx", F.posexplode("cells").alias("col_idx", "cell"))
-        .groupBy(*KEYS, "col_idx")
-        .agg(F.bool_or(F.col("cell") != "").alias("used"), F.max("row_idx").alias("last_row"))
+        grid.select(*KEYS, "row_idx", F.posexplode(_used_words(F.col("cells"))).alias("word", "bits"))
+        .groupBy(*KEYS, "word")
+        .agg(F.bit_or("bits").alias("bits"), F.max("row_idx").alias("last_row"))
     )
     kept = (
         used.groupBy(*KEYS)
         .agg(
-            F.collect_list(F.when(F.col("used"), F.col("col_idx"))).alias("kept"),
+            F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("kept"),
             F.max("last_row").alias("last_row"),
         )
-        .withColumn("block", F.explode(F.sequence(F.lit(0), _block("last_row", block_rows))))
-        .drop("last_row")
+        .select(
+            *KEYS,
+            F.col("kept.bits").alias("kept"),
+            F.explode(F.sequence(F.lit(0), _block("last_row", block_rows))).alias("block"),
+        )
     )
-    keep_used = lambda values: F.filter(values, lambda _, i: F.array_contains("kept", i))
+    keep_used = lambda values: F.filter(values, lambda _, i: _is_used(F.col("kept"), i))
     pruned = grid.withColumn("block", _block("row_idx", block_rows)).join(kept, [*KEYS, "block"], "left")
     # rows without cells have no columns to keep, but stay
-    pruned = pruned.withColumn("kept", F.coalesce("kept", F.array().cast("array<int>")))
+    pruned = pruned.withColumn("kept", F.coalesce("kept", F.array().cast("array<bigint>")))
     pruned = pruned.withColumn("cells", keep_used(F.col("cells")))
     if "col_labels" in grid.columns:
         pruned = pruned.withColumn("col_labels", keep_used(F.col("col_labels")))
     return pruned.select(*grid.columns)
 
 
+def _used_words(cells: Column) -> Column:
+    """A bit for each column, set where the cell holds text; null without cells."""
+    none = F.lit(0).cast("long")
+
+    def word(k: Column) -> Column:
+        own = F.slice(cells, k * WORD_BITS + 1, WORD_BITS)
+        bits = F.transform(own, lambda c, i: F.when(c != "", _bit(i)).otherwise(none))
+        return F.aggregate(bits, none, lambda all_, bit: all_.bitwiseOR(bit))
+
+    last = F.floor((F.size(cells) - 1) / WORD_BITS).cast("int")
+    return F.when(F.size(cells) > 0, F.transform(F.sequence(F.lit(0), last), word))
+
+
+def _bit(place: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), place)
+
+
+def _is_used(words: Column, column: Column) -> Column:
+    word = F.get(words, F.floor(column / WORD_BITS).cast("int"))
+    return F.coalesce(word.bitwiseAND(_bit(column % WORD_BITS)) != 0, F.lit(False))
+
+
 def column_types(grid: DataFrame) -> DataFrame:
     """``type`` of every column (``col_idx``) of a table, from all its cells, with the last row that has the column.
 

@@ -1,6 +1,7 @@
 """The hand-made grids, through the window operators and through the array expressions."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from fixtures import GRID_SCHEMA, GRIDS, grid_rows, to_html
 from pershare import eps_from_grid, extract_eps
@@ -71,3 +72,15 @@ def test_rejected_numbers_are_counted_with_an_encoder(spark):
         ("a", 3.5, 1, 1), ("b", 0.1, 1, 0), ("c", 0.0, 0, 1), ("d", 0.0, 0, 0),
     }
     assert "n_unreadable" not in extract_eps(filings, make_encoder=near_first_encoder).columns
+
+
+def test_used_columns_are_words_of_bits(spark):
+    wide = ["" if i % 3 else "x" for i in range(130)]
+    rows = [("f", 0, 0, wide), ("f", 0, 1, ["y"]), ("f", 0, 2, []), ("f", 0, 3, None), ("f", 0, 9, [None, "", "z"]), ("g", 0, 0, ["", None])]
+    df = spark.createDataFrame(rows, "filename string, table_seq int, row_idx int, cells array<string>")
+    words = df.select("filename", "row_idx", grid._used_words(F.col("cells")).alias("w")).collect()
+    assert [None if r.w is None else len(r.w) for r in sorted(words)] == [3, 1, None, None, 1, 1]
+    for block_rows in (1, 2, 100):
+        found = {(r.filename, r.row_idx): r.cells for r in grid.drop_empty_columns(df, block_rows).collect()}
+        kept = [c for i, c in enumerate(wide) if i % 3 == 0 or i == 2]
+        assert found == {("f", 0): kept, ("f", 1): ["y"], ("f", 2): [], ("f", 3): None, ("f", 9): [None, "z"], ("g", 0): []}
