@@ -1,9 +1,15 @@
 """HTML to elements and grids."""
 
+import re
+import sys
+
+import pyarrow as pa
 import pytest
 
 from pershare import extract_eps
+from pershare.functions import markup
 from pershare.functions.markup import parse_elements
+from pershare.functions.patterns import EPS_FRAGMENT
 from pershare.operators import elements
 
 
@@ -135,3 +141,29 @@ def test_force_loss_negative(spark):
     assert {tuple(r) for r in extract_eps(filings).collect()} == {("loss", 0.4), ("both", 0.4)}
     forced = extract_eps(filings, force_loss_negative=True)
     assert {tuple(r) for r in forced.collect()} == {("loss", -0.4), ("both", 0.4)}
+
+
+def test_small_filing_takes_few_calls():
+    row = "<tr class='a>b'><td><font size=\"1\">Diluted</font></td><td>$1.23<TD align=right> ($2&#46;34)</tr>\n"
+    page = (
+        "<html><head><title>8-K</title></head><body><p>Report &amp; results<table><tr><td>Contents<td>1.00</td></tr>"
+        "<tr><td>EPS</td></tr><p>Our year</p><TABLE><tr><td>Menu</td><td>Results<table>" + row + "</table>as filed</td></tr>"
+        "<tr><td>Foot<td>Page 2</table><div>End</div></body></html>"
+    )
+    wanted = re.compile(EPS_FRAGMENT, re.IGNORECASE)
+    markup.parse_elements(page, table_filter=wanted, nested=True)
+    calls = []
+    sys.setprofile(lambda frame, event, arg: calls.append(event) if event in ("call", "c_call") else None)
+    try:
+        found = markup.parse_elements(page, table_filter=wanted, nested=True)
+    finally:
+        sys.setprofile(None)
+    assert [e["rows"] for e in found] == [[["Contents", "1.00"], ["EPS", ""]]]
+    assert len(calls) < 190
+
+
+def test_elements_become_arrow_by_column():
+    pages = ["<p>a<table><tr><th>H<td colspan=2>1<tr><td>2</table>b", "", "<table><thead><tr><th>x<th>y</thead><tr><td><td>1.5</table>"]
+    parsed = [None, *(markup.parse_elements(p, True) for p in pages), [], None]
+    for some in (parsed, [], [None], [[]]):
+        assert markup._arrow(some).equals(pa.array(some, markup._ARROW_TYPE))
