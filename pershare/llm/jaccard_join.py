@@ -423,6 +423,7 @@ def near_components(docs: DataFrame, links: bool = True) -> DataFrame:
         return whole.select(F.col("sid").alias(side), *(F.col(c).alias(f"{c}_{side}") for c in ("n", *PARITIES)))
 
     def verified(pairs: DataFrame) -> DataFrame:
+        pairs = stored(pairs, "candidates")
         near = stored(pairs.join(marks("a"), "a").join(marks("b"), "b").where(may_be_similar()).select("a", "b"), "near")
         asked = spark.sparkContext.broadcast(row_filter(near.selectExpr("explode(array(a, b)) as sid"), "sid"))
         texts = arrow_map(whole.select("sid", filter_place("sid").alias("place"), "text"), _chooser(asked), "sid long, text binary")
@@ -458,6 +459,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     found = near_components(docs, links=False)
     chosen = found.where("n_shingles > 0").groupBy("root").agg(F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "r1", "r2")).alias("m"))
     keys = chosen.select("m.r1", "m.r2", F.lit(True).alias("one")).unionByName(found.where("n_shingles = 0").select("r1", "r2", F.lit(False).alias("one")).distinct()).toDF(r1, r2, one)
+    keys = stored(keys, "keys")
     kept = docs.withColumns({r1: k1, r2: k2}).join(keys, [r1, r2])
     # rows that repeat have one key: of those chosen one stays
     return kept.withColumn(copy, F.when(F.col(one), F.lit(0)).otherwise(F.monotonically_increasing_id())).dropDuplicates([r1, r2, copy]).drop(r1, r2, one, copy)

@@ -6,8 +6,8 @@ with them, made independent by the inverse root of the landmarks' own kernel, ar
 regression for each language against the rest. Texts are scored in batches of matrix products.
 
 The sample has about ``per_lang`` different texts of each language, and at most twice as many, chosen by a hash of the text; copies count
-once, so no copied text fills it, and every language that has a text with letters is learned. The driver holds a row of ``DIM``
-numbers for each text of the sample. All else sees every row and whole texts. Rules: A-Z is lower-cased, ASCII that is no letter counts as a space. A text that is null or without letters
+once, so no copied text fills it, and every language that has a text with letters is learned. The driver holds ``DIM`` bits
+for each text of the sample, and their numbers for ``BATCH`` of them at once. All else sees every row and whole texts. Rules: A-Z is lower-cased, ASCII that is no letter counts as a space. A text that is null or without letters
 is ``und`` with score 0, and so is every text if there is nothing to learn from. Ties go to the first language in
 alphabetical order.
 """
@@ -78,15 +78,22 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"lang": rows.column("lang"), "place": rows.column("place"), "bits": pa.array([b.tobytes() for b in bits], pa.binary())}).filter(pa.array(good))
 
 
+def unpacked(bits: np.ndarray) -> np.ndarray:
+    return np.unpackbits(bits, 1).astype(np.float32)
+
+
 class LanguageModel:
     def __init__(self, langs: list[str], landmarks: np.ndarray, weights: np.ndarray) -> None:
         self.langs, self.landmarks, self.weights = langs, landmarks, weights
         self.norms = np.sqrt(np.maximum(landmarks.sum(1), 1))
 
+    def kernel(self, x: np.ndarray) -> np.ndarray:
+        """Kernel values of texts with the landmarks."""
+        return (x @ self.landmarks.T) / np.sqrt(np.maximum(x.sum(1), 1))[:, None] / self.norms
+
     def scores(self, x: np.ndarray) -> np.ndarray:
         """Regression values, about 1 for the language and -1 for the others."""
-        kernel = (x @ self.landmarks.T) / np.sqrt(np.maximum(x.sum(1), 1))[:, None] / self.norms
-        return kernel @ self.weights
+        return self.kernel(x) @ self.weights
 
 
 def fit(docs: DataFrame, per_lang: int = 1000, landmarks: int = 160, ridge: float = 1.0) -> LanguageModel:
@@ -105,15 +112,15 @@ def fit(docs: DataFrame, per_lang: int = 1000, landmarks: int = 160, ridge: floa
     langs = sorted({r["lang"] for r in sample})
     if not langs:
         return LanguageModel([], np.zeros((0, DIM), np.float32), np.zeros((0, 0), np.float32))
-    x = np.unpackbits(np.frombuffer(b"".join(r["bits"] for r in sample), np.uint8).reshape(len(sample), -1), 1).astype(np.float32)
+    bits = np.frombuffer(b"".join(r["bits"] for r in sample), np.uint8).reshape(len(sample), -1)
     y = np.array([langs.index(r["lang"]) for r in sample])
     each = max(1, landmarks // len(langs))
-    marks = x[np.concatenate([np.flatnonzero(y == k)[:each] for k in range(len(langs))])]
+    marks = unpacked(bits[np.concatenate([np.flatnonzero(y == k)[:each] for k in range(len(langs))])])
     model = LanguageModel(langs, marks, np.eye(len(marks), dtype=np.float32))
     value, vector = np.linalg.eigh(model.scores(marks).astype(np.float64))
     keep = value > 1e-6 * value.max()
     root = vector[:, keep] / np.sqrt(value[keep])
-    features = model.scores(x) @ root
+    features = np.concatenate([model.kernel(unpacked(bits[a : a + BATCH])) for a in range(0, len(bits), BATCH)]) @ root
     # rows weigh so that each language counts the same
     weight = (1 / np.bincount(y, minlength=len(langs)))[y][:, None]
     target = np.where(np.arange(len(langs)) == y[:, None], 1.0, -1.0)

@@ -52,7 +52,7 @@ def raked(cells: DataFrame, margins: list[str], rounds: int, temper: float, targ
         whole = own.agg(F.sum(name)).first()[0] or 1.0
         own = own.withColumn(name, F.col(name) / F.lit(whole) * F.lit(total)).withColumnRenamed(margin, "value")
         out = out.join(own, out[margin].eqNullSafe(own["value"]), "left").drop("value")
-    out = out.withColumn("weight", F.col("tokens").cast("double"))
+    out = stored(out.withColumn("weight", F.col("tokens").cast("double")), "weights")
     for _ in range(rounds):
         for name, margin in zip(names, margins):
             held = F.sum("weight").over(Window.partitionBy(margin))
