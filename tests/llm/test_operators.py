@@ -104,6 +104,22 @@ def test_suffix_dedup(spark, length):
     assert got == brute_repeats(rows, length)
 
 
+def test_suffix_dedup_moves_texts_once(spark, tmp_path):
+    rng = random.Random(7)
+    shared = "".join(rng.choice("abcdefgh ") for _ in range(700))
+    rows = [(i, shared[i:] + "".join(rng.choice("abcdefgh ") for _ in range(300))) for i in range(40)] + odd_rows()
+    spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "documents"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = drop_repeats(spark.read.parquet(str(tmp_path / "documents")))
+        got = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(bytes(r.kept)).hexdigest()) for r in kept.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == brute_repeats(rows, 400)
+    assert re.search(r"ReusedExchange \[[^\]]*\btext#\d+[^\]]*\], Exchange hashpartitioning", kept._jdf.queryExecution().executedPlan().toString())
+
+
 def brute_components(rows):
     sets = []
     for _, t in rows:
